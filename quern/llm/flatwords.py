@@ -76,8 +76,8 @@ def _encode(text: str | None) -> bytes:
     if not text:
         return b""
     # The only two letters outside ASCII whose lower case holds an ASCII letter.
-    if "K" in text or "İ" in text:
-        text = text.replace("K", "k").replace("İ", "i ")
+    if "\u212a" in text or "\u0130" in text:
+        text = text.replace("\u212a", "k").replace("\u0130", "i ")
     return text.encode("utf-8", "surrogatepass")
 
 
