@@ -5,13 +5,12 @@ streams over the runs of equal keys.  A *cold* key (at most ``cold`` documents)
 gives its pairs, at most ``cold - 1`` per row, so the work grows with the rows.  A
 *hot* key gives back its rows, unpaired; nothing larger than one run of ``cold``
 rows is ever held.  The exact way for hot keys: a document of which hot keys make
-up at least ``HOT_SHARE`` of the weight is *hot-dominated*; hot keys are joined
+up at least ``hot_share`` of the weight is *hot-dominated*; hot keys are joined
 among hot-dominated documents only (by an ordinary join, whose skewed keys
 adaptive execution splits).  A document that is not hot-dominated has most of its
-weight in cold keys, by which its near-duplicates find it; and a pair of
-near-duplicates differs little in its hot share, hence the two bounds: rows are
-joined if both documents reach ``HOT_SHARE``, and documents well above it are
-never without their hot keys.
+weight in cold keys, by which its near-duplicates find it.  The bound belongs to
+the kind of keys: members of a large group of near-copies have at least that share
+of their keys in common with many others.
 """
 
 from __future__ import annotations
@@ -91,7 +90,7 @@ def _runs(cold: int):
     return run
 
 
-def bucket_pairs(keys: DataFrame, totals: DataFrame, cold: int = COLD) -> DataFrame:
+def bucket_pairs(keys: DataFrame, totals: DataFrame, cold: int = COLD, hot_share: float = HOT_SHARE) -> DataFrame:
     """Pairs of documents that share keys: ``a < b, shared (number of keys), weight (their sum)``.
 
     ``keys``: ``key long, doc long, mask byte, weight int``, unique by key and doc;
@@ -106,7 +105,7 @@ def bucket_pairs(keys: DataFrame, totals: DataFrame, cold: int = COLD) -> DataFr
     if hot_rows.isEmpty():
         pairs = cold_pairs
     else:
-        share = hot_rows.groupBy("doc").agg(F.sum("weight").alias("hot")).join(totals, "doc").where(F.col("hot") >= HOT_SHARE * F.col("total")).select("doc")
+        share = hot_rows.groupBy("doc").agg(F.sum("weight").alias("hot")).join(totals, "doc").where(F.col("hot") >= hot_share * F.col("total")).select("doc")
         kept = stage.write(hot_rows.join(share, "doc", "left_semi"))
         y = kept.select("key", F.col("doc").alias("doc2"), F.col("mask").alias("mask2"), F.col("weight").alias("weight2"))
         both = kept.join(y, "key").where("doc < doc2").where("((mask & 1) <> 0 and (mask2 & 2) <> 0) or ((mask & 2) <> 0 and (mask2 & 1) <> 0)")
