@@ -6,8 +6,8 @@ gives its pairs, at most ``cold - 1`` per row, so the work grows with the rows.
 *hot* key gives back its rows, unpaired; nothing larger than one run of ``cold``
 rows is ever held.  The exact way for hot keys: a document of which hot keys make
 up at least ``hot_share`` of the weight is *hot-dominated*; hot keys are joined
-among hot-dominated documents only (by an ordinary join, whose skewed keys
-adaptive execution splits).  A document that is not hot-dominated has most of its
+between hot-dominated documents and those that reach MARGIN of that share (by an
+ordinary join, whose skewed keys adaptive execution splits).  A document that is not hot-dominated has most of its
 weight in cold keys, by which its near-duplicates find it.  The bound belongs to
 the kind of keys: members of a large group of near-copies have at least that share
 of their keys in common with many others.
@@ -26,6 +26,7 @@ from quern.plans.stage import Stage
 
 COLD = 48
 HOT_SHARE = 0.2
+MARGIN = 0.6
 _OUT = "key long, a long, b long, mask byte, weight int"
 
 
@@ -90,8 +91,8 @@ def _runs(cold: int):
     return run
 
 
-def bucket_pairs(keys: DataFrame, totals: DataFrame, cold: int = COLD, hot_share: float = HOT_SHARE) -> DataFrame:
-    """Pairs of documents that share keys: ``a < b, shared (number of keys), weight (their sum)``.
+def bucket_pairs(keys: DataFrame, totals: DataFrame, cold: int = COLD, hot_share: float = HOT_SHARE) -> tuple[DataFrame, DataFrame]:
+    """Pairs of documents that share keys: ``a < b, shared (number of keys), weight (their sum)``; and ``doc, hot`` (weight of hot keys, where there are any).
 
     ``keys``: ``key long, doc long, mask byte, weight int``, unique by key and doc;
     a pair needs bit 1 in one mask and bit 2 in the other (mask 3: any pair).
@@ -102,12 +103,16 @@ def bucket_pairs(keys: DataFrame, totals: DataFrame, cold: int = COLD, hot_share
     out = stage.write(rows.mapInArrow(_runs(cold), _OUT))
     cold_pairs = out.where("b is not null").select("a", "b", "weight")
     hot_rows = out.where("b is null").select("key", F.col("a").alias("doc"), "mask", "weight")
+    hot = hot_rows.groupBy("doc").agg(F.sum("weight").alias("hot"))
     if hot_rows.isEmpty():
         pairs = cold_pairs
     else:
-        share = hot_rows.groupBy("doc").agg(F.sum("weight").alias("hot")).join(totals, "doc").where(F.col("hot") >= hot_share * F.col("total")).select("doc")
-        kept = stage.write(hot_rows.join(share, "doc", "left_semi"))
-        y = kept.select("key", F.col("doc").alias("doc2"), F.col("mask").alias("mask2"), F.col("weight").alias("weight2"))
-        both = kept.join(y, "key").where("doc < doc2").where("((mask & 1) <> 0 and (mask2 & 2) <> 0) or ((mask & 2) <> 0 and (mask2 & 1) <> 0)")
-        pairs = cold_pairs.unionByName(both.select(F.col("doc").alias("a"), F.col("doc2").alias("b"), F.least("weight", "weight2").alias("weight")))
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.sum("weight").alias("weight"))
+        share = hot.join(totals, "doc").select("doc", (F.col("hot") / F.col("total")).alias("share")).where(F.col("share") >= MARGIN * hot_share)
+        kept = stage.write(hot_rows.join(share, "doc"))
+        x = kept.where(F.col("share") >= hot_share)
+        y = kept.select("key", F.col("doc").alias("doc2"), F.col("mask").alias("mask2"), F.col("weight").alias("weight2"), F.col("share").alias("share2"))
+        once = (F.col("share2") < hot_share) | (F.col("doc") < F.col("doc2"))  # two hot-dominated documents meet twice
+        both = x.join(y, "key").where(once & (F.col("doc") != F.col("doc2")))
+        both = both.where("((mask & 1) <> 0 and (mask2 & 2) <> 0) or ((mask & 2) <> 0 and (mask2 & 1) <> 0)")
+        pairs = cold_pairs.unionByName(both.select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b"), F.least("weight", "weight2").alias("weight")))
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.sum("weight").alias("weight")), hot

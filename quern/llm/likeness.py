@@ -6,7 +6,7 @@ both divided by the number found in either; texts without such a run have none.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -115,24 +115,23 @@ def edit_similarity(x: fw.Words, y: fw.Words, band: int = BAND) -> np.ndarray:
     return out
 
 
-def _verify(k: int, band: int | None, min_likeness: float, min_edit: float):
+def _verify(k: int, measure: Callable[[fw.Words, fw.Words], np.ndarray], min_likeness: float, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in range(0, batch.num_rows, 256):
                 part = batch.slice(s, 256)
                 texts_a, texts_b = part.column(2).to_pylist(), part.column(3).to_pylist()
                 for x, y in zip(fw.pieces(texts_a, 1 << 62), fw.pieces(texts_b, 1 << 62)):
-                    like = pair_likeness(x, y, k)
-                    edit = edit_similarity(x, y, band) if band is not None else np.full(x.n, np.nan)
-                    keep = np.flatnonzero((like >= min_likeness) | (np.nan_to_num(edit, nan=-1.0) >= min_edit))
+                    like, got = pair_likeness(x, y, k), measure(x, y)
+                    keep = np.flatnonzero((like >= min_likeness) | (np.nan_to_num(got, nan=-1.0) >= least))
                     cols = [part.column(0).take(pa.array(keep)), part.column(1).take(pa.array(keep))]
-                    yield pa.RecordBatch.from_arrays([*cols, pa.array(like[keep]), pa.array(edit[keep])], names=["a", "b", "likeness", "edit_similarity"])
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array(like[keep]), pa.array(got[keep])], names=["a", "b", "likeness", "measure"])
 
     return run
 
 
-def verify_pairs(pairs: DataFrame, texts: DataFrame, k: int = 3, min_likeness: float = 0.6, band: int | None = None, min_edit: float = 2.0) -> DataFrame:
-    """Likeness (and, with a band, edit similarity) of candidate pairs ``a, b`` that reach a bound.
+def verify_pairs(pairs: DataFrame, texts: DataFrame, measure: Callable[[fw.Words, fw.Words], np.ndarray], name: str, k: int = 3, min_likeness: float = 0.6, least: float = 2.0) -> DataFrame:
+    """``a, b, likeness`` and a second measure of candidate pairs ``a, b`` that reach one of the bounds.
 
     ``texts``: ``doc, text``; only the documents of the pairs are shuffled.
     """
@@ -142,7 +141,7 @@ def verify_pairs(pairs: DataFrame, texts: DataFrame, k: int = 3, min_likeness: f
     x = used.select(F.col("doc").alias("a"), F.col("text").alias("text_a"))
     y = used.select(F.col("doc").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(_verify(k, band, min_likeness, min_edit), "a long, b long, likeness double, edit_similarity double")
+    return joined.mapInArrow(_verify(k, measure, min_likeness, least), "a long, b long, likeness double, measure double").withColumnRenamed("measure", name)
 
 
 def expand_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
