@@ -51,7 +51,7 @@ class Stage:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path) if not partition_by else self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *paths: str) -> None:
         """Delete the given tables, or the whole folder."""
