@@ -45,6 +45,9 @@ from pyspark.sql import functions as F
 MAX_LABELLED = 20_000
 MAX_WORDINGS = 15_000
 FOLDS = 3
+RATE = 0.15
+L2 = 2e-5
+STEPS = 60
 COMMON = 5  # documents of the labelled sample in which a word must stand to count as common
 THRESHOLD = 0.5
 BALANCE = 0.35  # weight of all abusive wordings over that of all others
@@ -175,12 +178,12 @@ class Lexicon:
 
     @staticmethod
     def _close(a: str, b: str) -> bool:
-        """At most one letter added, lost, exchanged or swapped with the next."""
+        """At most one letter added, lost or swapped with the next, or, in long words, exchanged."""
         if a == b:
             return True
         if len(a) == len(b):
             diff = [i for i, (x, y) in enumerate(zip(a, b)) if x != y]
-            return len(diff) == 1 or (len(diff) == 2 and diff[1] == diff[0] + 1 and a[diff[0]] == b[diff[1]] and a[diff[1]] == b[diff[0]])
+            return (len(diff) == 1 and len(a) > 7) or (len(diff) == 2 and diff[1] == diff[0] + 1 and a[diff[0]] == b[diff[1]] and a[diff[1]] == b[diff[0]])
         if abs(len(a) - len(b)) != 1:
             return False
         if len(a) > len(b):
@@ -192,8 +195,9 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_linear(index: np.ndarray, starts: np.ndarray, extra: np.ndarray, y: np.ndarray, weight: np.ndarray, n: int, steps: int = 50, l2: float = 2e-5) -> tuple[np.ndarray, np.ndarray]:
+def fit_linear(index: np.ndarray, starts: np.ndarray, extra: np.ndarray, y: np.ndarray, weight: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Logistic regression over sparse 0/1 features (rows of ``index``) and dense ``extra`` columns, by Adam on all rows."""
+    steps, l2 = STEPS, L2
     counts = np.diff(np.append(starts, len(index)))
     w, v = np.zeros(n), np.zeros(extra.shape[1])
     m1, m2 = np.zeros(n + len(v)), np.zeros(n + len(v))
@@ -203,7 +207,7 @@ def fit_linear(index: np.ndarray, starts: np.ndarray, extra: np.ndarray, y: np.n
         err = (_sigmoid(z) - y) * weight / total
         g = np.concatenate((np.bincount(index, np.repeat(err, counts), n) + l2 * w, extra.T @ err + l2 * v))
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g
-        step = 0.15 * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-9)
+        step = RATE * (1 - (t - 1) / steps) * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-9)
         w, v = w - step[:n], v - step[n:]
     return w, v
 
@@ -458,7 +462,7 @@ def train_chain(documents: Iterable[tuple[int, str, int]]) -> Chain:
         score[at] = oof[:, -1]
         p = _sigmoid(score)
         wrong_no = (yes == 0) & (no <= 2) & seeded & strong & (p > 0.8)  # judged harmless, yet surely abusive
-        wrong_yes = (label > 0) & (p < 0.35)
+        wrong_yes = (label > 0) & (p < 0.35) & (yes - 3 * no < 4)  # not so if several documents agree
         label = np.where(only_yes & ~seeded & (p > 0.5), 1.0, label)
         label = np.where(wrong_no, 1.0, np.where(wrong_yes, 0.0, label))
         use = ~(only_yes & (label == 0) & (p > 0.1) & (p <= 0.5))
