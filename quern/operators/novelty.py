@@ -29,22 +29,29 @@ def novelty(rows: DataFrame, exact: list[str], near: list[str], order: str, know
 
     A row is exact if one of its exact keys is known or stands in an earlier row,
     else near if one of its near keys does.  Keys are added whatever the verdict
-    of their row, so "seen before" is "the smallest position of the key is lower":
-    one aggregation and one join over exploded keys, no loop.  ``known`` holds the
-    same key columns.  Null keys match nothing; equal positions do not see each other.
+    of their row, so a row has a seen key exactly if it is not the first bringer of
+    all its keys: keys are reduced to their smallest position (combined on the map
+    side), positions to the number of keys they brought first, and that number is
+    compared with the row's keys.  So a key that a third of all rows share is one
+    row in every join.  ``known`` holds the same key columns.  Null keys match
+    nothing; positions must be unique.
     """
 
     def keys(df: DataFrame, at: Column) -> DataFrame:
         both = [F.when(F.col(c).isNotNull(), F.struct(F.lit(k).alias("kind"), F.col(c).alias("key"))) for k, cols in (("e", exact), ("n", near)) for c in cols]
-        return df.select(at.cast("long").alias("at"), F.explode(F.array_compact(F.array(*both))).alias("k")).select("at", "k.kind", "k.key")
+        return df.select(at.cast("long").alias("at"), F.explode(F.array_distinct(F.array_compact(F.array(*both)))).alias("k")).select("at", "k.kind", "k.key")
 
     own = keys(rows, F.col(order))
-    every = own if known is None else own.unionByName(keys(known, F.lit(None)).withColumn("at", F.lit(-(1 << 62))))
-    first = every.groupBy("kind", "key").agg(F.min("at").alias("first"))
-    seen = own.join(first, ["kind", "key"]).where("first < at").groupBy("at").agg(F.max((F.col("kind") == "e").cast("int")).alias("e"))
-    out = rows.select(F.col(order)).join(seen, rows[order] == seen["at"], "left")
-    verdict = F.when(F.col("e") == 1, "exact").when(F.col("e") == 0, "near").otherwise("novel")
-    return out.select(rows[order], verdict.alias("verdict"))
+    every = own if known is None else own.unionByName(keys(known, F.lit(-(1 << 62))))
+    brought = every.groupBy("kind", "key").agg(F.min("at").alias("at")).groupBy("at")
+    count = lambda k: F.count_if(F.col("kind") == k)
+    brought = brought.agg(count("e").alias("e_first"), count("n").alias("n_first"))
+    has = rows.select(F.col(order).alias("at"), *[sum((F.col(c).isNotNull().cast("int") for c in cols), F.lit(0)).alias(k) for k, cols in (("e", exact), ("n", near))]) if max(len(exact), len(near)) < 2 else None
+    if has is None:
+        has = rows.select(F.col(order).alias("at")).join(own.groupBy("at").agg(count("e").alias("e"), count("n").alias("n")), "at", "left")
+    out = has.join(brought, "at", "left").na.fill(0)
+    verdict = F.when(F.col("e_first") < F.col("e"), "exact").when(F.col("n_first") < F.col("n"), "near").otherwise("novel")
+    return out.select(F.col("at").alias(order), verdict.alias("verdict"))
 
 
 def novelty_report(verdicts: DataFrame) -> DataFrame:

@@ -49,20 +49,30 @@ def preference_pairs(rows: DataFrame, group: str, key: str, ms: str, text: str,
     return out.select(group, "winner", F.col(key).alias("loser"), "winner_ms", F.col(ms).alias("loser_ms"), "speedup", "chosen", F.col(text).alias("rejected"))
 
 
-def timing_summary(rows: DataFrame, group: str, ms: str) -> DataFrame:
+def timing_summary(rows: DataFrame, group: str, ms: str, bins: int = 4096) -> DataFrame:
     """Count, exact median, 95th percentile by floor index, least and largest time of each group.
 
-    Times are counted per distinct value first (map-side), then running counts
-    give the order statistics, so repeated values never pile up.
+    Times are counted in ``bins`` equal bins between the least and largest of the group; the
+    running counts of the bins (a bounded table) show in which bins the wanted order
+    statistics lie, and only the values of those bins are ordered.  So no group is sorted as a
+    whole.  Null times are left out; groups without times give no row.
     """
-    counts = rows.where(F.col(ms).isNotNull()).groupBy(group, F.col(ms).alias("v")).agg(F.count("*").alias("c"))
-    running = Window.partitionBy(group).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    total = Window.partitionBy(group)
-    placed = counts.withColumns({"upto": F.sum("c").over(running), "n": F.sum("c").over(total)})
-
-    def at(index: Column) -> Column:
-        return F.min(F.when(F.col("upto") > index, F.col("v")))
-
-    low, high, p95 = (F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2), F.floor(0.95 * (F.col("n") - 1)))
-    out = placed.groupBy(group).agg(F.max("n").alias("n"), at(low).alias("a"), at(high).alias("b"), at(p95).alias("p95_ms"), F.min("v").alias("min_ms"), F.max("v").alias("max_ms"))
+    used = rows.where(F.col(ms).isNotNull()).select(group, F.col(ms).cast("double").alias("v"))
+    facts = used.groupBy(group).agg(F.count("*").alias("n"), F.min("v").alias("min_ms"), F.max("v").alias("max_ms"))
+    width = F.col("max_ms") - F.col("min_ms")
+    where = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("min_ms")) / width * bins), F.lit(bins - 1))).otherwise(0)
+    # A null-safe join, so that rows without a group form one.
+    named = facts.withColumnRenamed(group, "_g")
+    binned = used.join(F.broadcast(named) if facts.limit(10_001).count() <= 10_000 else named, F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
+    binned = binned.withColumn("bin", where.cast("int")).groupBy(group, "bin", "v").agg(F.count("*").alias("c"), F.first("n").alias("n"))
+    before = Window.partitionBy(group).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins_ = binned.groupBy(group, "bin").agg(F.sum("c").alias("in_bin"), F.first("n").alias("n")).withColumn("before", F.coalesce(F.sum("in_bin").over(before), F.lit(0)))
+    ranks = {"a": F.floor((F.col("n") - 1) / 2), "b": F.floor(F.col("n") / 2), "p95_ms": F.floor(0.95 * (F.col("n") - 1))}
+    hit = lambda r: (F.col("before") <= r) & (r < F.col("before") + F.col("in_bin"))
+    wanted = bins_.where(hit(ranks["a"]) | hit(ranks["b"]) | hit(ranks["p95_ms"])).select(F.col(group).alias("_g"), F.col("bin").alias("_b"), "before")
+    within = Window.partitionBy(group, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    near = binned.join(wanted, F.col(group).eqNullSafe(F.col("_g")) & (F.col("bin") == F.col("_b"))).withColumn("upto", F.col("before") + F.sum("c").over(within))
+    at = lambda r: F.min(F.when((F.col("upto") > r) & (r >= F.col("upto") - F.col("c")), F.col("v")))
+    got = near.groupBy(F.col(group).alias("_g")).agg(*[at(r).alias(k) for k, r in ranks.items()])
+    out = facts.join(got, F.col(group).eqNullSafe(F.col("_g")))
     return out.select(group, "n", ((F.col("a") + F.col("b")) / 2).alias("median_ms"), "p95_ms", "min_ms", "max_ms")
