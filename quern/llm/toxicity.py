@@ -82,6 +82,7 @@ TECHNICAL = {
 }
 
 _LOOKALIKE = str.maketrans("авеёіјкмнорстухѕԁһӏɡαβεικνορτυχıøłđ", "abeeijkmhopctyxsdhlgabeiknoptuxiold")
+_PLAIN = {c: None for c in range(0x110000) if unicodedata.category(chr(c)) in ("Cf", "Mn")} | _LOOKALIKE | {ord("ß"): "ss"}
 _APART = re.compile(r"(?<![^\W\d_])[^\W\d_](?:[ *.\-_#|/+~][^\W\d_]){2,}(?![^\W\d_])")
 _SEP = re.compile(r"[ *.\-_#|/+~]")
 _WORDING = re.compile(r"[.!?]+(?=\s|$)|\n+")
@@ -93,9 +94,7 @@ _RUN = re.compile(r"(.)\1+")
 def plain(text: str) -> str:
     """The text in plain lower-case letters."""
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text)
-        text = "".join(c for c in text if unicodedata.category(c) not in ("Cf", "Mn"))
-        text = text.lower().translate(_LOOKALIKE).replace("ß", "ss")
+        text = unicodedata.normalize("NFKD", text).lower().translate(_PLAIN)
     else:
         text = text.lower()
     return _APART.sub(lambda m: _SEP.sub("", m.group()), text)
@@ -143,8 +142,9 @@ class Lexicon:
         """The seed word that is meant, however spelled."""
         if (hit := self.exact(word)) or len(word) < 4:
             return hit
-        if (core := word.strip("*#@!")) != word and (hit := self.exact(core)):
-            return hit
+        word = word.strip("*#@!")
+        if len(word) < 4:
+            return self.exact(word) if word else None
         if not word.isalpha():
             if hit := self.exact(word.translate(_LEET)):
                 return hit
@@ -156,10 +156,6 @@ class Lexicon:
                             return seed
                 if masked.count("?") == sum(c in "_0123456789" for c in word):
                     return None  # an identifier
-                pattern = re.compile("".join("." if c == "?" else re.escape(c) + "+" for c in masked) + "$")
-                full = next((s for s in self.categories if pattern.match(s)), None)
-                if full:
-                    return full
             elif "_" in word:
                 return None  # an identifier
             word = re.sub(r"[^a-z]", "", word.translate(_LEET))
@@ -477,9 +473,9 @@ def hash_of(read: tuple[str, ...]) -> int:
 
 def labelled(documents: DataFrame, labels: DataFrame) -> list[tuple[int, str, int]]:
     """At most MAX_LABELLED labelled documents ``(doc, text, label)``: those of the smallest id hashes."""
-    votes = labels.where("label in (0, 1)").groupBy("doc").agg(F.sum(F.col("label") * 2 - 1).alias("v")).where("v <> 0")
+    votes = labels.select("doc", "label").where("label in (0, 1) and doc is not null").groupBy("doc").agg(F.sum(F.col("label") * 2 - 1).alias("v")).where("v <> 0")
     votes = votes.orderBy(F.xxhash64("doc"), "doc").limit(MAX_LABELLED)
-    rows = documents.where("text is not null").join(votes, "doc").select("doc", "text", (F.col("v") > 0).cast("int").alias("y")).collect()  # at most MAX_LABELLED rows
+    rows = documents.select("doc", "text").where("text is not null").join(F.broadcast(votes), "doc").select("doc", "text", (F.col("v") > 0).cast("int").alias("y")).collect()  # at most MAX_LABELLED rows
     return [(r.doc, r.text, r.y) for r in rows]
 
 

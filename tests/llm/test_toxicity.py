@@ -76,7 +76,8 @@ def test_without_usable_labels_seeds_decide():
 
 def test_documents(spark):
     rows = labelled(1, 200)
-    docs = spark.createDataFrame([(i, t, 0) for i, t, _ in rows] + [(900, None, 0), (901, "", 0), (902, "you are a moron " + "x " * 50_000, 0), (903, "you are a moron.\n" + "The kernel loads the tile. " * 20_000, 0)], "doc long, text string, label int")
+    texts = [(i, t) for i, t, _ in rows] + [(900, None), (901, ""), (902, "you are a moron " + "x " * 50_000), (903, "you are a moron.\n" + "The kernel loads the tile. " * 20_000)]
+    docs = spark.createDataFrame([(i, t, 0, "z", 1) for i, t in texts], "doc long, text string, label int, v string, y int")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(1, None), (2, 1), (2, 0), (12345, 1)], "doc long, label int")
     got = {r.doc: r for r in score_documents(docs, labels).collect()}
     assert len(got) == 204 and got[900].abusive < 1e-9 and got[901].abusive < 1e-9 and got[903].abusive > 0.5
