@@ -29,13 +29,13 @@ def stratified_sample(rows: DataFrame, source: str, family: str, key: str, limit
     if limit <= 0:
         return rows.limit(0)
     cap = max(1, math.ceil(limit * max_share))
-    h = rows.withColumns({"_k": joined_hash(F.lit(salt), F.col(key)), "_f": joined_hash(F.lit(salt), F.col(family)), "_s": joined_hash(F.lit(salt), F.col(source))})
-    in_family = Window.partitionBy(source, family).orderBy("_k", key)
-    ranked = h.withColumn("_r", F.row_number().over(in_family)).where(F.col("_r") <= limit)
-    in_source = Window.partitionBy(source).orderBy("_r", "_f", family)
-    placed = ranked.withColumn("_p", F.row_number().over(in_source)).where(F.col("_p") <= limit)
-    order = [(F.col("_p") > cap).cast("int"), F.col("_p"), F.col("_s"), F.col(source)]
-    return placed.orderBy(*order).limit(limit).drop("_k", "_f", "_s", "_r", "_p")
+    h = rows.withColumns({"_quern_k": joined_hash(F.lit(salt), F.col(key)), "_quern_f": joined_hash(F.lit(salt), F.col(family)), "_quern_s": joined_hash(F.lit(salt), F.col(source))})
+    in_family = Window.partitionBy(source, family).orderBy("_quern_k", key)
+    ranked = h.withColumn("_quern_r", F.row_number().over(in_family)).where(F.col("_quern_r") <= limit)
+    in_source = Window.partitionBy(source).orderBy("_quern_r", "_quern_f", family)
+    placed = ranked.withColumn("_quern_p", F.row_number().over(in_source)).where(F.col("_quern_p") <= limit)
+    order = [(F.col("_quern_p") > cap).cast("int"), F.col("_quern_p"), F.col("_quern_s"), F.col(source)]
+    return placed.orderBy(*order).limit(limit).drop("_quern_k", "_quern_f", "_quern_s", "_quern_r", "_quern_p")
 
 
 def catalogue_hash(rows: DataFrame, *columns: str) -> DataFrame:

@@ -26,8 +26,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, missi
     if missing_ok and not exists(spark, path):
         return spark.createDataFrame([], schema)
     lines = spark.read.text(path).where(~is_blank(F.col("value")))
-    row = F.from_json("value", schema, {"mode": "FAILFAST"}) if not isinstance(schema, T.StructType) else F.from_json("value", schema, {"mode": "FAILFAST"})
-    return lines.select(row.alias("r")).select("r.*")
+    return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
 def split_jsonl(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
