@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from quern.plans.stage import Stage
 
 COLD = 48
-HOT_SHARE = 0.2
+HOT_SHARE = 0.3
 MARGIN = 0.6
 _OUT = "key long, a long, b long, mask byte, weight int"
 

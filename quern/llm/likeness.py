@@ -152,6 +152,8 @@ def expand_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
     m1 = members.select(F.col("rep").alias("a"), F.col("doc").alias("x"))
     m2 = members.select(F.col("rep").alias("b"), F.col("doc").alias("y"))
     across = pairs.select("a", "b").join(m1, "a").join(m2, "b").select("x", "y")
-    copies = m1.join(m2.withColumnRenamed("b", "a"), "a").select("x", "y").where("x < y")
+    several = members.groupBy(F.col("rep").alias("a")).agg(F.count("*").alias("n")).where("n > 1").select("a")
+    repeated = m1.join(several, "a", "left_semi")
+    copies = repeated.join(m2.withColumnRenamed("b", "a"), "a").select("x", "y").where("x < y")
     out = across.unionByName(copies)
     return out.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))

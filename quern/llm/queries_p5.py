@@ -40,6 +40,16 @@ p as (select traj_id, g from r where k <= n - ceil(0.6 * n) + 1),
 c as (select distinct a.traj_id a, b.traj_id b from p a join p b on a.g = b.g and a.traj_id < b.traj_id),
 v as (select c.a, c.b, count(*) shared from c join s x on x.traj_id = c.a join s y on y.traj_id = c.b and x.g = y.g group by 1, 2)
 """
+_GROUPS = _FOUND.replace("with d as", "with recursive d as", 1) + """,
+m as (select traj_id, min(traj_id) over (partition by w) rep, count(*) over (partition by w) - 1 copies from d where len(w) >= 3),
+e as (select distinct p.rep a, q.rep b from v join n x on x.traj_id = v.a join n y on y.traj_id = v.b join m p on p.traj_id = v.a join m q on q.traj_id = v.b
+      where v.shared >= 0.6 * (x.n + y.n - v.shared) and p.rep <> q.rep),
+adj as (select a, b from e union select b, a from e),
+reach as (select rep x, rep y from m union select r.x, adj.b from reach r join adj on adj.a = r.y),
+k as (select x, min(y) class_id from reach group by 1),
+l as (select a, count(*) links from adj group by 1)
+select m.traj_id, k.class_id, coalesce(l.links, 0) as links, m.copies from m join k on k.x = m.rep left join l on l.a = m.rep"""
 ORACLES = {
+    "p5_groups": _GROUPS,
     "p5_found": _FOUND + "select v.a as traj_id_a, v.b as traj_id_b from v join n x on x.traj_id = v.a join n y on y.traj_id = v.b where v.shared >= 0.6 * (x.n + y.n - v.shared)",
 }
