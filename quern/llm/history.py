@@ -4,13 +4,15 @@ A record has one *band* per key column.  The minwise value of a band is the
 smallest 64-bit hash over the band's features; a band of a fingerprint record has
 one feature, the scoped key itself (hash digits, with the architecture where the
 key is architecture-bound, or the task id), so two records that agree in a band
-always meet in its bucket.  The *signature* of a record is the array of its
-minwise values.
-
-The history is a table of unique keys ``(bucket, band, minwise, key, first_id)``
-partitioned by ``bucket`` (minwise value modulo the number of buckets) in the
-shared folder.  A probe reads only the buckets its keys fall into, joins on the
-minwise value and verifies the whole key.  Appending adds a generation of files;
+always meet in its bucket.  The *signature* of a record is
+its minwise values cut to BITS bits each, side by side in one long integer (b-bit
+minwise hashing; 0 stands for an empty band).
+
+The history is a table of unique keys ``(bucket, band, minwise, key, first_id,
+signature)``, the signature being that of the first bringer, partitioned by
+``bucket`` (minwise value modulo the number of buckets) in the shared folder.  A
+probe reads only the buckets its keys fall into, joins on the minwise value and
+verifies the whole key; ``matches`` also compares signatures.  Appending adds a generation of files;
 nothing written before is read or rewritten.
 
 A record brings nothing new if one of its keys is in the history, or was brought
@@ -38,6 +40,7 @@ from quern.plans.stage import Stage
 BANDS = (("prompt_hash", True), ("assistant_ast_hash", True), ("semantic_hash", False), ("reference_ast_hash", False), ("task_id", False))
 DEFAULT_ARCHITECTURE = "blackwell"
 BUCKETS = 32
+BITS = 12
 
 
 def _digits(c: str) -> Column:
@@ -45,22 +48,31 @@ def _digits(c: str) -> Column:
 
 
 def record_keys(rows: DataFrame, id_col: str, bands: tuple = BANDS) -> DataFrame:
-    """Unique keys of records: id, band, key, minwise."""
+    """Unique keys of records: id, band, key, minwise, signature."""
     arch = F.coalesce(clean_key("gpu_architecture"), F.lit(DEFAULT_ARCHITECTURE))
     keys = []
     for name, bound in bands:
         value = clean_key(name) if name == "task_id" else _digits(name)
-        keys.append(F.concat_ws(":", arch, value) if bound else value)
-        keys[-1] = F.when(value.isNotNull(), F.struct(F.lit(name).alias("band"), keys[-1].alias("key")))
-    out = rows.select(F.col(id_col).alias("id"), F.explode(F.array_compact(F.array(*keys))).alias("k"))
-    out = out.select("id", "k.band", "k.key", F.xxhash64("k.band", "k.key").alias("minwise"))
-    return out.where("id is not null").distinct()
-
-
-def signature(rows: DataFrame, id_col: str, bands: tuple = BANDS) -> DataFrame:
-    """id and signature: the minwise value of every band in fixed order, null where the band is empty."""
-    keys = record_keys(rows, id_col, bands)
-    return keys.groupBy("id").agg(F.array(*[F.min(F.when(F.col("band") == n, F.col("minwise"))) for n, _ in bands]).alias("signature"))
+        key = F.concat_ws(":", arch, value) if bound else value
+        keys.append(F.when(value.isNotNull(), F.struct(F.lit(name).alias("band"), key.alias("key"), F.xxhash64(F.lit(name), key).alias("minwise"))))
+    out = rows.select(F.col(id_col).alias("id"), F.array(*keys).alias("all"))
+    place = {name: i for i, (name, _) in enumerate(BANDS)}
+    parts = [F.coalesce(F.shiftleft(F.get("all", F.lit(i))["minwise"].bitwiseAND(F.lit((1 << BITS) - 1)).bitwiseOR(F.lit(1)), BITS * place[name]), F.lit(0)) for i, (name, _) in enumerate(bands)]
+    sketch = parts[0]
+    for part in parts[1:]:
+        sketch = sketch.bitwiseOR(part)
+    out = out.where("id is not null").select("id", sketch.cast("long").alias("signature"), F.explode(F.array_compact("all")).alias("k"))
+    return out.groupBy("id", "k.band", "k.key", "k.minwise").agg(F.min("signature").alias("signature"))
+
+
+def similarity(a: Column, b: Column) -> Column:
+    """Bands in which two signatures agree, over the bands that either fills."""
+    same, filled = F.lit(0), F.lit(0)
+    for i in range(len(BANDS)):
+        x, y = (F.shiftrightunsigned(c, BITS * i).bitwiseAND(F.lit((1 << BITS) - 1)) for c in (a, b))
+        same = same + ((x == y) & (x != 0)).cast("int")
+        filled = filled + ((x != 0) | (y != 0)).cast("int")
+    return F.try_divide(same, filled)
 
 
 class HistoryIndex:
@@ -72,44 +84,57 @@ class HistoryIndex:
         self.generations: list[DataFrame] = []
 
     def append(self, keys: DataFrame) -> None:
-        """Add keys (band, key, minwise, id) as a new generation; only the smallest id of a key is kept."""
-        unique = keys.groupBy("minwise", "band", "key").agg(F.min("id").alias("first_id"))
+        """Add keys (band, key, minwise, id, signature) as a new generation; only the first bringer of a key is kept."""
+        unique = keys.groupBy("minwise", "band", "key").agg(F.min("id").alias("first_id"), F.min_by("signature", "id").alias("signature"))
         placed = unique.withColumn("bucket", F.pmod("minwise", F.lit(self.buckets)).cast("int"))
         self.generations.append(self.stage.write(placed.repartition("bucket"), ["bucket"]))
 
     def probe(self, keys: DataFrame) -> DataFrame:
-        """Those of the unique keys (minwise, band, key) that the history holds, with its smallest id."""
+        """Those of the unique keys (minwise, band, key) that the history holds, with first bringer and its signature."""
         placed = keys.withColumn("bucket", F.pmod("minwise", F.lit(self.buckets)).cast("int"))
         used = [r[0] for r in placed.select("bucket").distinct().collect()]  # at most self.buckets numbers
         found = None
         for g in self.generations:
             part = g.where(F.col("bucket").isin(used)) if len(used) < self.buckets else g
-            hit = placed.join(part, ["bucket", "minwise", "band", "key"]).select("minwise", "band", "key", "first_id")
+            hit = placed.join(part, ["bucket", "minwise", "band", "key"]).select("minwise", "band", "key", "first_id", "signature")
             found = hit if found is None else found.unionByName(hit)
         if found is None:
-            return keys.select("minwise", "band", "key", F.lit(None).cast("long").alias("first_id")).limit(0)
-        return found.groupBy("minwise", "band", "key").agg(F.min("first_id").alias("first_id"))
+            return keys.select("minwise", "band", "key", F.lit(None).cast("long").alias("first_id"), F.lit(None).cast("long").alias("signature")).limit(0)
+        return found.groupBy("minwise", "band", "key").agg(F.min("first_id").alias("first_id"), F.min_by("signature", "first_id").alias("signature"))
 
 
 def submit(index: HistoryIndex, batch: DataFrame, id_col: str = "fp_id", append: bool = True) -> DataFrame:
     """Check a submission (one or many batches) against the history, then add its keys.
 
-    Returns one row per record: id, keys (how many it has), in_history (how many
-    the history holds), repeated (how many a record of lower id in this
-    submission brought), is_new.
+    Returns one row per record: id, keys (how many it has), brought (how many of
+    them neither the history holds nor a record of lower id in this submission
+    has), is_new (it brought all of them).
     """
     stage = index.stage
     keys = stage.write(record_keys(batch, id_col))
-    unique = stage.write(keys.groupBy("minwise", "band", "key").agg(F.min("id").alias("id")))
-    held = index.probe(unique.select("minwise", "band", "key")).withColumn("held", F.lit(True))
-    fresh = unique.join(held, ["minwise", "band", "key"], "left").select("id", "minwise", "band", "key", F.coalesce("held", F.lit(False)).alias("held"))
+    unique = stage.write(keys.groupBy("minwise", "band", "key").agg(F.min("id").alias("id"), F.min_by("signature", "id").alias("signature")))
+    held = index.probe(unique.select("minwise", "band", "key")).select("minwise", "band", "key", F.lit(True).alias("held"))
+    fresh = unique.join(held, ["minwise", "band", "key"], "left").select("id", "minwise", "band", "key", "signature", F.coalesce("held", F.lit(False)).alias("held"))
     fresh = stage.write(fresh)
-    # Records that hold a key of the history: unique keys are joined back only where they are held.
     first = fresh.where("not held").groupBy("id").agg(F.count("*").alias("brought"))
     total = keys.groupBy("id").agg(F.count("*").alias("keys"))
     out = batch.select(F.col(id_col).alias("id")).where("id is not null").distinct()
     out = out.join(total, "id", "left").join(first, "id", "left").na.fill(0, ["keys", "brought"])
     out = stage.write(out.select("id", "keys", "brought", (F.col("keys") == F.col("brought")).alias("is_new")))
     if append:
-        index.append(fresh.where("not held").select("minwise", "band", "key", "id"))
+        index.append(fresh.where("not held").select("minwise", "band", "key", "id", "signature"))
     return out
+
+
+def matches(index: HistoryIndex, batch: DataFrame, id_col: str = "fp_id") -> DataFrame:
+    """What the history holds of each record: ``id, match_id, shared, similarity``.
+
+    One row per record with a held key: the first bringer of the lowest id, the
+    number of held keys, and the agreement of the two signatures.  Keys are probed
+    once each; the history is not changed.
+    """
+    keys = index.stage.write(record_keys(batch, id_col))
+    held = index.probe(keys.select("minwise", "band", "key").distinct()).withColumnRenamed("signature", "theirs")
+    both = keys.join(held, ["minwise", "band", "key"])
+    best = both.groupBy("id").agg(F.min("first_id").alias("match_id"), F.count("*").alias("shared"), F.min_by("theirs", "first_id").alias("theirs"), F.min("signature").alias("ours"))
+    return best.select("id", "match_id", "shared", similarity(F.col("ours"), F.col("theirs")).alias("similarity"))

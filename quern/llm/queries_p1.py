@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.keys import clean_key
-from quern.llm.history import HistoryIndex, record_keys, submit
+from quern.llm.history import HistoryIndex, matches, record_keys, submit
 from quern.sources.tables import table
 
 
@@ -34,7 +34,13 @@ def p1_batches(spark: SparkSession, sf: str) -> DataFrame:
     return out.agg(F.count("*").alias("n_rows"), F.sum(F.when(F.col("is_new"), 0).otherwise(1)).alias("n_found"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_batches": p1_batches}
+def p1_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """Batch rows that the history knows, with the first accepted row that shares a key (0: only an accepted-id list) and how many keys are held."""
+    found = matches(accepted_index(spark, sf), table(spark, sf, "batch_fingerprints"))
+    return found.select(F.col("id").alias("fp_id"), F.col("match_id").alias("match_fp_id"), "shared")
+
+
+QUERIES = {"p1_found": p1_found, "p1_batches": p1_batches, "p1_matches": p1_matches}
 
 _K = "nullif(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '')"
 _H = "nullif(regexp_extract(lower({0}), '([0-9a-f]{{64}})', 1), '')"
@@ -52,7 +58,15 @@ h as (select k from ({_KEYS.replace('TABLE_', 'accepted_fingerprints')}) where k
 f as (select k, min(fp_id) m from b group by k),
 found as (select distinct b.fp_id from b join f using (k) where b.fp_id > f.m or b.k in (select k from h))
 """
+_MATCHES = f"""
+with b as (select distinct fp_id, k from ({_KEYS.replace('TABLE_', 'batch_fingerprints')}) where k is not null),
+h as (select fp_id, k from ({_KEYS.replace('TABLE_', 'accepted_fingerprints')}) where k is not null
+      union select 0, 't' || {_K.format('task_id')} from accepted_task_ids where {_K.format('task_id')} is not null
+        and {_K.format('task_ids_path')} in (select {_K.format('task_ids_path')} from registry_snapshots where task_ids_path is not null)),
+m as (select k, min(fp_id) f from h group by 1)
+select b.fp_id, min(m.f) as match_fp_id, count(*) as shared from b join m using (k) group by 1"""
 ORACLES = {
+    "p1_matches": _MATCHES,
     "p1_found": _FOUND + "select fp_id from found",
     "p1_batches": _FOUND + """, r as (select fp_id, min(batch_id) batch_id from batch_fingerprints group by 1)
 select batch_id, count(*) as n_rows, sum(case when f2.fp_id is null then 0 else 1 end)::bigint as n_found

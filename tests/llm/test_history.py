@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 
-from quern.llm.history import HistoryIndex, record_keys, signature, submit
+from quern.llm.history import HistoryIndex, matches, record_keys, submit
 
 COLUMNS = "fp_id long, task_id string, gpu_architecture string, prompt_hash string, semantic_hash string, reference_ast_hash string, assistant_ast_hash string, band string, minwise int"
 
@@ -71,6 +71,10 @@ def test_empty(spark):
     assert not submit(index, rows(spark, row(2, task="a"))).first().is_new
 
 
-def test_signature(spark):
-    got = {r.id: r.signature for r in signature(rows(spark, row(1, p=1, s=2), row(2, p=1, s=3), row(3)), "fp_id").collect()}
-    assert got[1][0] == got[2][0] and got[1][2] != got[2][2] and got[1][1] is None and 3 not in got
+def test_signatures_and_matches(spark):
+    index = HistoryIndex(spark)
+    index.append(record_keys(rows(spark, row(4, "t4", None, 1, 2, 3, 4), row(5, None, None, 1, 9)), "fp_id"))
+    batch = rows(spark, row(10, "t4", None, 1, 2, 3, 4), row(11, "t9", None, 1, 8), row(12, None, "hopper", 1), row(13))
+    got = {r.id: (r.match_id, r.shared, r.similarity) for r in matches(index, batch).collect()}
+    assert got == {10: (4, 5, 1.0), 11: (4, 1, 1 / 5)}
+    assert matches(HistoryIndex(spark), batch).count() == 0
