@@ -139,7 +139,7 @@ def resolve_hierarchy(links: DataFrame, with_path: bool = False) -> DataFrame:
 def _cycles(active: DataFrame, stage: Stage) -> DataFrame:
     """node, root for rows that all run into cycles; root: smallest key of the cycle."""
     before = None
-    state = active
+    state, own = active, ""
     while True:
         targets = state.select(F.col("ptr").alias("node")).distinct()
         on = targets.join(state, "node").agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("node", "low").cast("decimal(38,0)")), F.lit(0))).first()
@@ -148,6 +148,9 @@ def _cycles(active: DataFrame, stage: Stage) -> DataFrame:
         before = on
         nxt = state.select(F.col("node").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("low").alias("low2"))
         state = stage.write(state.join(nxt, "ptr").select("node", F.col("ptr2").alias("ptr"), F.least("low", "low2").alias("low")))
+        if own:
+            stage.drop(own)
+        own = stage.last
     low = state.select(F.col("node").alias("ptr"), F.col("low").alias("root"))
     return state.select("node", "ptr").join(low, "ptr").select("node", "root")
 

@@ -36,8 +36,10 @@ def components(links: DataFrame) -> DataFrame:
         jump = by_row.select(F.col("row").alias("label"), F.col("label").alias("next"))
         moved = by_row.join(jump, "label", "left").select("row", F.coalesce("next", "label").alias("label"))
         before = label.select("row", F.col("label").alias("before"))
+        old = stage.last
         new = stage.write(moved.join(before, "row").select("row", "label", (F.col("label") != F.col("before")).alias("changed")))
         label = new.select("row", "label")
+        stage.drop(old)
         if new.where("changed").isEmpty():
             return label.select("row", F.col("label").alias("component"))
 

@@ -39,10 +39,12 @@ class Stage:
         self.spark = spark
         self.path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
+        self.last = ""  # path of the table written last
 
     def next_path(self) -> str:
         self._n += 1
-        return f"{self.path}/{self._n:04d}"
+        self.last = f"{self.path}/{self._n:04d}"
+        return self.last
 
     def write(self, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         """Write ``df`` and return the written table."""
