@@ -50,7 +50,9 @@ def hash_to_min(edges: DataFrame) -> DataFrame:
         low = clusters.groupBy("v").agg(F.min("u").alias("m"))
         sent = clusters.join(low, "v").select("u", "m")
         out = sent.select(F.col("m").alias("v"), "u").unionByName(sent.select(F.col("u").alias("v"), F.col("m").alias("u")))
+        old = stage.last
         clusters = stage.write(out.distinct())
+        stage.drop(old)
         state = clusters.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")), F.lit(0))).first()
         if state == previous:
             return clusters.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("component"))
