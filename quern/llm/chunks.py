@@ -10,7 +10,9 @@ prefix keys over their word runs, since they have too few chunks.
 *Overlap.*  Chunk digests are joined between the sides (train, evaluation) through
 ``bucket_pairs``, which never pairs all rows of a frequent chunk, and the lengths of the
 shared chunks are summed.  Candidates share at least MIN_OVERLAP of what the chunks
-that are not frequent cover of one of the two records.  For these the overlap fraction is
+that are not frequent cover of one of the two records.  Frequent chunks alone miss pairs
+(records of one template), so every pair that can reach the likeness is a candidate by
+its prefix keys, too (``prefix``).  For all candidates the overlap fraction is
 summed over all shared chunks, and the exact likeness decides.
 
 Copies (records with the same words) are one representative while chunks are
@@ -24,12 +26,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import flatwords as fw
 from quern.llm.buckets import MARGIN, bucket_pairs
 from quern.llm.likeness import short_keys, text_keys, verify_pairs
+from quern.llm.prefix import gram_order, prefix_keys, prefix_pairs
 from quern.plans.stage import Stage
 
 WINDOW = 2
@@ -83,7 +87,7 @@ def overlap_fraction(x: fw.Words, y: fw.Words) -> np.ndarray:
     return shared / np.maximum(np.minimum(x.counts, y.counts) * LAYERS, 1)
 
 
-def _cut(min_likeness: float):
+def _cut(min_likeness: float, grams: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, mask = batch.column(0), batch.column(2)
@@ -104,8 +108,9 @@ def _cut(min_likeness: float):
                 order = np.argsort(text, kind="stable")
                 offsets = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=w.n)))).astype(np.int32)
                 lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x[order], t)) for x, t in ((digest, pa.int64()), (size, pa.int32()))]
-                cols = [docs.slice(w.first, w.n), mask.slice(w.first, w.n), pa.array(t1), pa.array(t2), pa.array(w.counts), *lists]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc", "mask", "t1", "t2", "words", "digests", "sizes"])
+                prefix, runs = prefix_keys(w, 3, min_likeness, grams.value)
+                cols = [docs.slice(w.first, w.n), mask.slice(w.first, w.n), pa.array(t1), pa.array(t2), pa.array(w.counts), *lists, *prefix, pa.array(runs, pa.int32())]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc", "mask", "t1", "t2", "words", "digests", "sizes", "prefix", "places", "runs"])
 
     return run
 
@@ -118,19 +123,22 @@ def cross_overlaps(records: DataFrame, min_likeness: float = MIN_LIKENESS) -> tu
     ``rep, doc, mask``.
     """
     stage = Stage(records.sparkSession, "chunks")
-    schema = "doc long, mask byte, t1 long, t2 long, words long, digests array<long>, sizes array<int>"
+    schema = "doc long, mask byte, t1 long, t2 long, words long, digests array<long>, sizes array<int>, prefix array<long>, places array<int>, runs int"
     records = records.where("doc is not null and text is not null and mask in (1, 2)").select("doc", "text", "mask")
-    cut = stage.write(records.mapInArrow(_cut(min_likeness), schema).where("words > 2"))
+    grams = gram_order(records, 3)
+    cut = stage.write(records.mapInArrow(_cut(min_likeness, grams), schema).where("words > 2"))
+    grams.unpersist()
     ids = cut.groupBy("t1", "t2").agg(F.min("doc").alias("rep"), F.bit_or("mask").alias("mask"))
     members = stage.write(cut.select("t1", "t2", "doc", F.col("mask").alias("own")).join(ids, ["t1", "t2"]).select("rep", "doc", "own", "mask"))
-    reps = stage.write(cut.drop("mask").join(members.where("doc = rep").select("doc", "mask"), "doc").select("doc", "mask", "words", F.arrays_zip("digests", "sizes").alias("c")))
+    reps = stage.write(cut.drop("mask").join(members.where("doc = rep").select("doc", "mask"), "doc").select("doc", "mask", "words", "runs", F.arrays_zip("digests", "sizes").alias("c"), F.arrays_zip("prefix", "places").alias("p")))
     rows = reps.select("doc", "mask", F.explode("c").alias("c")).select(F.col("c.digests").alias("key"), "doc", "mask", F.col("c.sizes").alias("weight"))
     totals = reps.select("doc", F.aggregate("c", F.lit(0), lambda s, x: s + x.sizes).alias("total"))
     pairs, hot = bucket_pairs(rows, totals, hot_share=HOT_SHARE)
     basis = stage.write(totals.join(hot, "doc", "left").select("doc", F.greatest(F.col("total") - F.coalesce("hot", F.lit(0)), F.lit(1)).alias("basis"), (F.col("hot") >= MARGIN * HOT_SHARE * F.col("total")).alias("is_hot")))
     pairs = pairs.join(basis.toDF("a", "basis_a", "hot_a"), "a").join(basis.toDF("b", "basis_b", "hot_b"), "b")
     enough = (F.col("weight") >= MIN_OVERLAP * F.least("basis_a", "basis_b")) | (F.col("hot_a") & F.col("hot_b"))
-    pairs = stage.write(pairs.where(enough).select("a", "b"))
+    keys = stage.write(reps.select("doc", "mask", "runs", F.explode("p").alias("p")).select(F.col("p.prefix").alias("key"), "doc", "mask", F.col("p.places").alias("place"), "runs"))
+    pairs = stage.write(pairs.where(enough).select("a", "b").unionByName(prefix_pairs(keys, min_likeness)).distinct())
     sure = verify_pairs(pairs, records.select("doc", "text"), overlap_fraction, "overlap", 3, min_likeness)
     return stage.write(sure), members.select("rep", "doc", F.col("own").alias("mask"))
 

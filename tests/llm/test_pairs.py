@@ -115,6 +115,20 @@ def test_cross_overlaps_like_brute_force(spark):
     assert len(want) > 50 and got == want
 
 
+def test_cross_overlaps_of_a_template(spark):
+    """Fixed parts of 13 words make frequent chunks that cover only about a third of each text."""
+    rng = random.Random(11)
+    fixed = [f"f{i}" for i in range(126)]
+    rows = []
+    for i in range(120):
+        t = list(fixed)
+        t[13::14] = [f"s{rng.randrange(10**6)}" for _ in t[13::14]]
+        rows.append((i, " ".join(t), 1 + i % 2))
+    want = {(i, j) for i, a, m in rows if m == 1 for j, b, k in rows if k == 2 and like(a, b) >= 0.6}
+    pairs, members = cross_overlaps(spark.createDataFrame(rows, "doc long, text string, mask byte"))
+    assert len(want) == 3600 and {(r.train_doc, r.eval_doc) for r in expand_across(pairs, members).collect()} == want
+
+
 def test_cross_overlaps_empty(spark):
     pairs, members = cross_overlaps(spark.createDataFrame([], "doc long, text string, mask byte"))
     assert pairs.count() == 0 and expand_across(pairs, members).count() == 0
