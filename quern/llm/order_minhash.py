@@ -8,8 +8,11 @@ where their parts are reordered.  Texts of at most SHORT words also get exact
 prefix keys, since a few k-mers make poor sketches.
 
 *Candidates.*  Texts that agree in at least MIN_SHARED sketches (or in a prefix
-key, for short ones), found through ``bucket_pairs``.  At a likeness of 0.6 the
-expected number is 0.6 ** 3 * 48 = 10; two are missed by about one pair in 10,000.
+key, for short ones), found through ``bucket_pairs``; and, since sketches miss texts
+whose parts repeat or move and ``bucket_pairs`` joins frequent sketches of some texts
+only, every pair that can reach the likeness by its prefix keys (``prefix``).  The
+likeness is exact thereby; pairs that reach the edit similarity alone come from
+sketches, with their misses.
 
 *Verification.*  Word alignment in a band around the diagonal, for all candidates
 of a batch at once, gives the edit similarity; the exact likeness settles pairs
@@ -28,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +39,7 @@ from quern.functions.keys import is_blank
 from quern.llm import flatwords as fw
 from quern.llm.buckets import bucket_pairs
 from quern.llm.likeness import edit_similarity, short_keys, text_keys, verify_pairs
+from quern.llm.prefix import gram_order, prefix_keys, prefix_pairs
 from quern.llm.splits import hash_to_min
 from quern.plans.stage import Stage
 
@@ -97,7 +102,7 @@ def order_sketches(w: fw.Words, k: int, picks: int, sketches: int) -> tuple[np.n
     return enough, out
 
 
-def _sketch(k: int, picks: int, sketches: int, short: int, min_likeness: float):
+def _sketch(k: int, picks: int, sketches: int, short: int, min_likeness: float, grams: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
@@ -111,8 +116,9 @@ def _sketch(k: int, picks: int, sketches: int, short: int, min_likeness: float):
                 for t, h in zip(*short_keys(w, k, min_likeness, short)):
                     extra.setdefault(int(t), []).append(np.uint64(h).astype(np.int64))
                 exact = [extra.get(i) for i in range(w.n)]
-                out = [pa.array(ids[w.first : w.first + w.n]), pa.array(t1), pa.array(t2), pa.array(keys, pa.list_(pa.int64())), pa.array(exact, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(out, names=["doc", "t1", "t2", "keys", "exact"])
+                prefix, runs = prefix_keys(w, k, min_likeness, grams.value)
+                out = [pa.array(ids[w.first : w.first + w.n]), pa.array(t1), pa.array(t2), pa.array(keys, pa.list_(pa.int64())), pa.array(exact, pa.list_(pa.int64())), *prefix, pa.array(runs, pa.int32())]
+                yield pa.RecordBatch.from_arrays(out, names=["doc", "t1", "t2", "keys", "exact", "prefix", "places", "runs"])
 
     return run
 
@@ -127,8 +133,10 @@ def near_duplicates(docs: DataFrame, min_likeness: float = MIN_LIKENESS, min_edi
     """
     stage = Stage(docs.sparkSession, "orderminhash")
     docs = docs.where(~is_blank(F.col("text")) & F.col("doc").isNotNull()).select("doc", "text")
-    schema = "doc long, t1 long, t2 long, keys array<long>, exact array<long>"
-    sketched = stage.write(docs.mapInArrow(_sketch(k, PICKS, SKETCHES, SHORT, min_likeness), schema).where("keys is not null or exact is not null"))
+    schema = "doc long, t1 long, t2 long, keys array<long>, exact array<long>, prefix array<long>, places array<int>, runs int"
+    grams = gram_order(docs, k)
+    sketched = stage.write(docs.mapInArrow(_sketch(k, PICKS, SKETCHES, SHORT, min_likeness, grams), schema).where("keys is not null or exact is not null"))
+    grams.unpersist()
     reps = sketched.groupBy("t1", "t2").agg(F.min("doc").alias("doc"), F.any_value("keys").alias("keys"), F.any_value("exact").alias("exact"))
     members = sketched.select("t1", "t2", "doc").distinct().join(sketched.groupBy("t1", "t2").agg(F.min("doc").alias("rep")), ["t1", "t2"]).select("rep", "doc")
     one = F.transform("keys", lambda x: F.struct(x.alias("key"), F.lit(1).alias("weight")))
@@ -136,7 +144,10 @@ def near_duplicates(docs: DataFrame, min_likeness: float = MIN_LIKENESS, min_edi
     rows = reps.select("doc", F.explode(F.concat(F.coalesce(one, F.array().cast("array<struct<key:bigint,weight:int>>")), sure)).alias("k"))
     rows = rows.select("k.key", "doc", F.lit(3).cast("byte").alias("mask"), "k.weight")
     totals = reps.select("doc", (F.coalesce(F.size("keys"), F.lit(0)) + _SURE * F.coalesce(F.size("exact"), F.lit(0))).alias("total"))
-    pairs = stage.write(bucket_pairs(rows, totals)[0].where(F.col("weight") >= MIN_SHARED).select("a", "b"))
+    sketch_pairs = bucket_pairs(rows, totals)[0].where(F.col("weight") >= MIN_SHARED).select("a", "b")
+    own = sketched.groupBy("t1", "t2").agg(F.min("doc").alias("doc"), F.any_value("runs").alias("runs"), F.any_value(F.arrays_zip("prefix", "places")).alias("p"))
+    keys = stage.write(own.select("doc", "runs", F.explode("p").alias("p")).select(F.col("p.prefix").alias("key"), "doc", F.lit(3).cast("byte").alias("mask"), F.col("p.places").alias("place"), "runs"))
+    pairs = stage.write(sketch_pairs.unionByName(prefix_pairs(keys, min_likeness)).distinct())
     return stage.write(verify_pairs(pairs, docs, edit_similarity, "edit_similarity", 3, min_likeness, min_edit)), members
 
 

@@ -83,6 +83,22 @@ def test_large_group_at_the_bound(spark):
     assert len(want) > 10_000 and got <= want and len(got) >= 0.999 * len(want)
 
 
+def test_longer_versions_of_a_large_group(spark):
+    """A longer version shares with the group frequent sketches only, which are less than a fifth of its own."""
+    rng = random.Random(12)
+    core = [f"c{i}" for i in range(120)]
+    texts = []
+    for _ in range(60):
+        t = list(core)
+        t[rng.randrange(120)] = f"w{rng.randrange(10**6)}"
+        texts.append(t)
+    for _ in range(60):
+        texts.append(core + [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(70, 78))])
+    rows = [(i, " ".join(t), "m", 1) for i, t in enumerate(texts)]
+    want = {(i, j) for (i, a, *_), (j, b, *_) in combinations(rows, 2) if like(a, b) >= 0.6}
+    assert len(want) > 2000 and found(spark, rows)[2] == want
+
+
 def test_empty(spark):
     pairs, members, got = found(spark, [(1, None, "m", 1), (2, " ", "m", 1)])
     assert got == set() and members.count() == 0 and duplicate_classes(pairs, members).count() == 0
