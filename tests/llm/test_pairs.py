@@ -99,6 +99,18 @@ def test_longer_versions_of_a_large_group(spark):
     assert len(want) > 2000 and found(spark, rows)[2] == want
 
 
+def test_repeated_and_reordered_texts(spark):
+    rng = random.Random(13)
+    texts = []
+    for i in range(60):
+        lines = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(12)) for _ in range(12)]
+        moved = rng.sample(lines, len(lines))
+        texts += [" ".join(lines), " ".join(lines * (3 + i % 3)), " ".join(moved)]
+    rows = [(i, t, "m", 1) for i, t in enumerate(texts)]
+    want = {(i, j) for (i, a, *_), (j, b, *_) in combinations(rows, 2) if like(a, b) >= 0.6}
+    assert len(want) > 170 and found(spark, rows)[2] == want
+
+
 def test_empty(spark):
     pairs, members, got = found(spark, [(1, None, "m", 1), (2, " ", "m", 1)])
     assert got == set() and members.count() == 0 and duplicate_classes(pairs, members).count() == 0
