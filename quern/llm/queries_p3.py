@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.suffix_automaton import find_leaks, leaked_items
+from quern.llm.suffix_automaton import cleaned_texts, find_leaks, leaked_items
 from quern.sources.tables import table
 
 
-def _leaks(spark: SparkSession, sf: str, with_clean: bool = False) -> DataFrame:
+_FIELDS = (["prompt", "response"], ["prompt", "ground_truth_code"])
+
+
+def _tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, sf, "trajectories").select(F.col("traj_id").alias("doc"), "prompt", "response")
     items = table(spark, sf, "eval_items").select(F.col("item_id").alias("item"), "prompt", "ground_truth_code")
-    return find_leaks(docs, ["prompt", "response"], items, ["prompt", "ground_truth_code"], with_clean=with_clean)
+    return docs, items
+
+
+def _leaks(spark: SparkSession, sf: str) -> DataFrame:
+    docs, items = _tables(spark, sf)
+    return find_leaks(docs, _FIELDS[0], items, _FIELDS[1])
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -26,7 +34,8 @@ def p3_items(spark: SparkSession, sf: str) -> DataFrame:
 
 def p3_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     """Affected texts with the matched spans removed, or dropped where they cover too much."""
-    out = _leaks(spark, sf, with_clean=True).dropDuplicates(["doc", "field"])
+    docs, items = _tables(spark, sf)
+    out = cleaned_texts(docs, _FIELDS[0], items, _FIELDS[1])
     return out.select(F.col("doc").alias("traj_id"), "field", "words", "covered", "longest", "spans", "dropped", "cleaned")
 
 

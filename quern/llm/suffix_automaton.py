@@ -23,6 +23,7 @@ reported once; an empty item set gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -123,6 +124,10 @@ class Automaton:
         return [(a, b) for a, b in out], items, longest
 
 
+_LEAKS = "doc long, field string, items array<long>, words long, covered long, longest long, spans long, dropped boolean, cleaned string, parts array<struct<first:long,end:long>>"
+_CLEANED = ["doc", "field", "words", "covered", "longest", "spans", "dropped", "cleaned"]
+
+
 def _known_stretches(known: np.ndarray, text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """First and end of the stretches of at least ``least`` known words inside one text."""
     if not len(known):
@@ -159,10 +164,11 @@ def _match(shared, fields: list[str], max_coverage: float, with_clean: bool):
                         words, covered = int(w.counts[t]), sum(b - a for a, b in spans)
                         drop = covered > max_coverage * words
                         cleaned = _cut(w, t, spans) if with_clean and not drop else None
-                        rows.append((int(ids[w.first + t]), field, sorted(items), words, covered, longest, len(spans), drop, cleaned))
+                        parts = [{"first": int(a - w.starts[t]), "end": int(b - w.starts[t])} for a, b in spans] if with_clean else None
+                        rows.append((int(ids[w.first + t]), field, sorted(items), words, covered, longest, len(spans), drop, cleaned, parts))
             if rows:
-                names = ["doc", "field", "items", "words", "covered", "longest", "spans", "dropped", "cleaned"]
-                types = [pa.int64(), pa.string(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
+                names = ["doc", "field", "items", "words", "covered", "longest", "spans", "dropped", "cleaned", "parts"]
+                types = [pa.int64(), pa.string(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     return run
@@ -198,19 +204,57 @@ def find_leaks(
     """One row per text of ``docs`` (columns ``doc`` and doc_fields) and block of items that holds item passages.
 
     ``items``: ``item`` and item_fields.  Returns ``doc, field, items, words,
-    covered, longest, spans, dropped, cleaned``.
+    covered, longest, spans, dropped, cleaned, parts`` (the spans as word numbers, with_clean only).
     """
-    spark = docs.sparkSession
-    schema = "doc long, field string, items array<long>, words long, covered long, longest long, spans long, dropped boolean, cleaned string"
-    out = None
+    parts = _leaks_by_block(docs, doc_fields, items, item_fields, min_words, max_coverage, with_clean)
+    return reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], _LEAKS)
+
+
+def _leaks_by_block(docs: DataFrame, doc_fields: list[str], items: DataFrame, item_fields: list[str], min_words: int, max_coverage: float, with_clean: bool) -> list[DataFrame]:
+    out = []
     for block in _blocks(items.where("item is not null").select("item", *item_fields), item_fields):
         auto = Automaton(block, min_words)
         if not auto.items:
             continue
-        shared = spark.sparkContext.broadcast(auto)
-        part = docs.where("doc is not null").select("doc", *doc_fields).mapInArrow(_match(shared, doc_fields, max_coverage, with_clean), schema)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], schema)
+        shared = docs.sparkSession.sparkContext.broadcast(auto)
+        out.append(docs.where("doc is not null").select("doc", *doc_fields).mapInArrow(_match(shared, doc_fields, max_coverage, with_clean), _LEAKS))
+    return out
+
+
+def _merged(max_coverage: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, fields, longest, parts, texts = (c.to_pylist() for c in batch.columns)
+            rows = []
+            for w in fw.pieces(texts):
+                for t in range(w.n):
+                    i, start = w.first + t, int(w.starts[t])
+                    spans: list[list[int]] = []
+                    for a, b in sorted((start + p["first"], start + p["end"]) for p in parts[i]):
+                        if spans and a <= spans[-1][1]:
+                            spans[-1][1] = max(spans[-1][1], b)
+                        else:
+                            spans.append([a, b])
+                    words, covered = int(w.counts[t]), sum(b - a for a, b in spans)
+                    drop = covered > max_coverage * words
+                    rows.append((docs[i], fields[i], words, covered, longest[i], len(spans), drop, None if drop else _cut(w, t, spans)))
+            if rows:
+                types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=_CLEANED)
+
+    return run
+
+
+def cleaned_texts(docs: DataFrame, doc_fields: list[str], items: DataFrame, item_fields: list[str], min_words: int = MIN_WORDS, max_coverage: float = MAX_COVERAGE) -> DataFrame:
+    """One row per affected text, spans of all blocks of items merged: ``doc, field, words, covered, longest, spans, dropped, cleaned``."""
+    parts = _leaks_by_block(docs, doc_fields, items, item_fields, min_words, max_coverage, True)
+    if len(parts) < 2:
+        return (parts[0] if parts else docs.sparkSession.createDataFrame([], _LEAKS)).select(_CLEANED).dropDuplicates(["doc", "field"])
+    found = reduce(DataFrame.unionByName, parts).groupBy("doc", "field").agg(F.max("longest").alias("longest"), F.flatten(F.collect_set("parts")).alias("parts"))
+    texts = docs.select("doc", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in doc_fields])).alias("t"))
+    texts = texts.select("doc", "t.field", "t.text").dropDuplicates(["doc", "field"])
+    rows = found.join(texts, ["doc", "field"]).select("doc", "field", "longest", "parts", "text")
+    return rows.mapInArrow(_merged(max_coverage), "doc long, field string, words long, covered long, longest long, spans long, dropped boolean, cleaned string")
 
 
 def leaked_items(leaks: DataFrame) -> DataFrame:

@@ -64,3 +64,15 @@ def test_match_lengths(n):
     (w,) = fw.pieces(["z b c d a b c y b c d q a"], 1 << 62)
     spans, items, longest = auto.spans(w.hashes.tolist())
     assert longest == 6 and items == {1, 2} and spans[0][0] == 1
+
+
+def test_cleaned_texts_over_blocks(spark, monkeypatch):
+    """Two blocks of items cover 30 % of a text each: together they drop it, or both are cut out of a longer one."""
+    monkeypatch.setattr(sa, "MAX_WORDS", 1)
+    x, y = ([f"{c}{i}" for i in range(15)] for c in "xy")
+    own = [f"o{i}" for i in range(90)]
+    items = spark.createDataFrame([(1, " ".join(x)), (2, " ".join(y))], "item long, p string")
+    texts = [(1, " ".join(x + own[:20] + y)), (2, " ".join(own[:40] + x + own[40:80] + y + own[80:]))]
+    got = {r.doc: r for r in sa.cleaned_texts(spark.createDataFrame(texts, "doc long, t string"), ["t"], items, ["p"], 12).collect()}
+    assert got[1].covered == got[2].covered == 30 and got[1].dropped and got[1].cleaned is None
+    assert not got[2].dropped and got[2].spans == 2 and got[2].cleaned.split() == own
