@@ -17,7 +17,8 @@ capacity.  So the packing is planned on the histogram of sizes (at most
 4. The plan lists, per size, ranges of ranks and their containers.  Every item
    gets its rank among the items of its size (counted in hashed sub-buckets, so
    a size that a third of all items share is ranked by many tasks) and looks its
-   container up in the broadcast plan, whose size is bounded by MAX_PLAN rows.
+   container up in the broadcast plan.  Best fit adds at most three patterns per
+   size, so the plan grows with the histogram, which the sum of the capacities bounds.
 
 Defined cases: null and blank texts are no items; equal sizes are ranked by
 sub-bucket and id; capacities below 1 or null are left out; an empty table gives
@@ -37,9 +38,8 @@ from pyspark.sql import functions as F
 
 from quern.plans.stage import Stage
 
-MAX_CAPACITY = 1 << 20
-MAX_SPECS = 100
-MAX_PLAN = 4_000_000
+#: Capacities of all specs together: the histograms and the plan on the driver hold a few numbers for each unit at most.
+MAX_CAPACITIES = 1 << 18
 ITEMS_PER_BUCKET = 200_000
 
 
@@ -87,21 +87,16 @@ def _reduce(count: dict[int, int], plan: Plan) -> None:
 
     def best_pair(room: int, j: int) -> int:
         """Largest sum of two items within room, besides one of size j."""
-        best, lo, hi = 0, 0, len(sizes) - 1
-        while lo <= hi:
-            a, b = sizes[lo], sizes[hi]
-            total = a + b
+        free = [s for s in sizes[: bisect_right(sizes, room)] if count[s] > (s == j)]
+        best = max((2 * s for s in free if 2 * s <= room and count[s] - (s == j) >= 2), default=0)
+        lo, hi = 0, len(free) - 1
+        while lo < hi:
+            total = free[lo] + free[hi]
             if total > room:
                 hi -= 1
-                continue
-            need = {a: 1} if a != b else {a: 2}
-            if a != b:
-                need[b] = 1
-            if all(count[s] - (s == j) >= q for s, q in need.items()):
+            else:
                 best = max(best, total)
-            elif a == b:
-                break
-            lo += 1
+                lo += 1
         return best
 
     j = max(sizes, default=0)
@@ -208,10 +203,10 @@ def pack(sizes: DataFrame, specs: DataFrame) -> tuple[DataFrame, list[tuple[str,
     """
     spark = sizes.sparkSession
     stage = Stage(spark, "packing")
-    wanted = specs.where("spec_name is not null and capacity_tokens >= 1").select("spec_name", "capacity_tokens").distinct().limit(MAX_SPECS + 1).collect()
-    wanted = sorted((r[0], r[1]) for r in wanted)
-    if len(wanted) > MAX_SPECS or any(c > MAX_CAPACITY for _, c in wanted):
-        raise ValueError(f"at most {MAX_SPECS} specs of at most {MAX_CAPACITY} tokens")
+    wanted = specs.where("spec_name is not null and capacity_tokens >= 1").select("spec_name", "capacity_tokens").distinct()
+    if (wanted.agg(F.sum("capacity_tokens")).first()[0] or 0) > MAX_CAPACITIES:
+        raise ValueError(f"capacities of more than {MAX_CAPACITIES} tokens together: pack the specs one by one")
+    wanted = sorted((r[0], r[1]) for r in wanted.collect())  # at most MAX_CAPACITIES rows
     empty = "spec_name string, container long, doc long, piece long, first_token long, tokens long"
     if not wanted:
         return spark.createDataFrame([], empty), []
@@ -227,8 +222,6 @@ def pack(sizes: DataFrame, specs: DataFrame) -> tuple[DataFrame, list[tuple[str,
         histogram[r.spec][r.tokens] = r.n
     plans = [plan_packing(h, c) for h, (_, c) in zip(histogram, wanted)]
     ranges = [_ranges(p) for p in plans]
-    if sum(map(len, ranges)) > MAX_PLAN:
-        raise ValueError("the plan exceeds MAX_PLAN rows")
     tables = []
     for r in ranges:
         a = np.array(r, np.int64).reshape(-1, 4)

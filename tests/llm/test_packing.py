@@ -61,13 +61,23 @@ def test_plan_holds_all_items_and_is_close_to_best(seed):
 def test_reduction_alone_keeps_the_optimum(seed):
     from quern.llm.packing import Plan, _reduce
 
-    rng = random.Random(100 + seed)
-    c = rng.choice([12, 20, 25])
-    sizes = [rng.randint(c // 5, c) for _ in range(rng.randint(2, 9))]
-    count, plan = dict(Counter(sizes)), Plan(c)
-    _reduce(count, plan)
-    rest = [s for s, n in count.items() for _ in range(n)]
-    assert plan.containers + (best(rest, c) if rest else 0) == best(sizes, c)
+    for step in range(50):
+        rng = random.Random(1000 * seed + step)
+        c = rng.randint(5, 40)
+        sizes = [rng.randint(1, c) for _ in range(rng.randint(1, 8))]
+        count, plan = dict(Counter(sizes)), Plan(c)
+        _reduce(count, plan)
+        rest = [s for s, n in count.items() for _ in range(n)]
+        assert plan.containers + (best(rest, c) if rest else 0) == best(sizes, c)
+
+
+def test_pair_that_needs_a_size_without_a_spare_copy():
+    assert plan_packing({6: 1, 5: 1, 1: 1}, 13).containers == 1
+
+
+def test_too_large_capacities(spark):
+    with pytest.raises(ValueError):
+        pack(spark.createDataFrame([(1, 5)], "doc long, tokens long"), spark.createDataFrame([("a", 1 << 40)], "spec_name string, capacity_tokens long"))
 
 
 def test_large_histogram_is_packed_tightly():
