@@ -9,8 +9,9 @@ the run are read from the state's anchor (its ancestor that holds the last
 of at least ``min_words`` known words are streamed; this loses nothing.
 
 The automaton is built on the driver and broadcast.  Its size is proven: at most
-MAX_WORDS words of items make one automaton (fewer than two states per word);
-larger sets are cut into blocks of items, each a pass of its own.
+MAX_WORDS words of items, counted as the automaton counts them, or one item, make one
+automaton (fewer than two states per word); larger sets are cut into blocks of items,
+each a pass of its own.
 
 ``clean`` removes the matched spans of at least ``min_words`` words, and drops a
 text altogether when the spans cover more than ``max_coverage`` of its words.
@@ -188,7 +189,7 @@ def _blocks(items: DataFrame, fields: list[str]) -> Iterator[list[tuple[int, lis
     block, words = [], 0
     for r in items.toLocalIterator():
         texts = [r[f] for f in fields]
-        n = sum(len(t.split()) * 2 for t in texts if t)
+        n = sum(len(w.hashes) for w in fw.pieces(texts, 1 << 62))
         if block and words + n > MAX_WORDS:
             yield block
             block, words = [], 0
