@@ -1,16 +1,13 @@
-"""Pairs of documents that share a bucket key, without all pairs of a hot bucket.
+"""Pairs of documents that share a bucket key, without all pairs of a frequent key.
 
 Key rows ``(key, doc, mask, weight)`` are hashed by key once and sorted; each task
-streams over the runs of equal keys.  A *cold* key (at most ``cold`` documents)
-gives its pairs, at most ``cold - 1`` per row, so the work grows with the rows.  A
-*hot* key gives back its rows, unpaired; nothing larger than one run of ``cold``
-rows is ever held.  The exact way for hot keys: a document of which hot keys make
-up at least ``hot_share`` of the weight is *hot-dominated*; hot keys are joined
-between hot-dominated documents and those that reach MARGIN of that share (by an
-ordinary join, whose skewed keys adaptive execution splits).  A document that is not hot-dominated has most of its
-weight in cold keys, by which its near-duplicates find it.  The bound belongs to
-the kind of keys: members of a large group of near-copies have at least that share
-of their keys in common with many others.
+streams over the runs of equal keys.  A key of at most ``cold`` documents gives its
+pairs, at most ``cold - 1`` per row, so the work grows with the rows; nothing larger
+than one run of ``cold`` rows is ever held.  A more frequent key gives none: what such
+keys alone would find must come from keys without a bound (``prefix``), as the callers
+see to.  Before the shuffle each stretch of HELD rows keeps ``cold + 1`` rows of a key,
+which is enough to know it as frequent, so a key that a third of all documents share
+does not fill one task.
 """
 
 from __future__ import annotations
@@ -22,12 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.plans.stage import Stage
-
 COLD = 48
-HOT_SHARE = 0.3
-MARGIN = 0.6
-_OUT = "key long, a long, b long, mask byte, weight int"
+HELD = 1 << 20
+_OUT = "a long, b long, weight int"
 
 
 def _runs(cold: int):
@@ -44,18 +38,12 @@ def _runs(cold: int):
             x, y = x[ok], y[ok]
             if len(x):
                 a, b = np.minimum(doc[x], doc[y]), np.maximum(doc[x], doc[y])
-                out.append((key[x], a, b, np.minimum(weight[x], weight[y])))
+                out.append((a, b, np.minimum(weight[x], weight[y])))
         return out
 
-    def batch_of(key, a, b, mask, weight):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(key, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()) if b is not None else pa.nulls(len(a), pa.int64()), pa.array(mask, pa.int8()), pa.array(weight, pa.int32())],
-            names=["key", "a", "b", "mask", "weight"],
-        )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = [np.zeros(0, t) for t in (np.int64, np.int64, np.int8, np.int32)]
-        hot = None  # the key of the run that is being streamed as hot
+        hot = None  # the frequent key whose run may go on in the next batch
 
         def handle(cols, last):
             nonlocal hot, rest
@@ -74,14 +62,10 @@ def _runs(cold: int):
             else:
                 rest = [c[:0] for c in cols]
                 hot = key[-1] if is_hot[-1] else None
-            for k, a, b, w in emit(key, doc, mask, weight, first[~is_hot], size[~is_hot]):
+            for a, b, w in emit(key, doc, mask, weight, first[~is_hot], size[~is_hot]):
                 for s in range(0, len(a), 100_000):
                     e = slice(s, s + 100_000)
-                    yield batch_of(k[e], a[e], b[e], np.zeros(len(a[e]), np.int8), w[e])
-            if is_hot.any():
-                rows = np.repeat(is_hot, size)
-                at = np.flatnonzero(rows)
-                yield batch_of(key[at], doc[at], None, mask[at], weight[at])
+                    yield pa.RecordBatch.from_arrays([pa.array(a[e], pa.int64()), pa.array(b[e], pa.int64()), pa.array(w[e], pa.int32())], names=["a", "b", "weight"])
 
         for batch in batches:
             cols = [np.concatenate((r, c.to_numpy(zero_copy_only=False).astype(r.dtype))) for r, c in zip(rest, batch.columns)]
@@ -91,28 +75,42 @@ def _runs(cold: int):
     return run
 
 
-def bucket_pairs(keys: DataFrame, totals: DataFrame, cold: int = COLD, hot_share: float = HOT_SHARE) -> tuple[DataFrame, DataFrame]:
-    """Pairs of documents that share keys: ``a < b, shared (number of keys), weight (their sum)``; and ``doc, hot`` (weight of hot keys, where there are any).
+def _few(cold: int):
+    """At most ``cold + 1`` rows of a key for every HELD rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def cut():
+            table = pa.Table.from_batches(held).combine_chunks()
+            key = table.column(0).to_numpy()
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            rank = np.arange(len(key)) - np.repeat(first, np.diff(np.append(first, len(key))))
+            if rank.max(initial=0) <= cold:
+                return table.to_batches(max_chunksize=100_000)
+            return table.take(pa.array(np.sort(order[rank <= cold]))).to_batches(max_chunksize=100_000)
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if size >= HELD:
+                yield from cut()
+                held, size = [], 0
+        if size:
+            yield from cut()
+
+    return run
+
+
+def bucket_pairs(keys: DataFrame, cold: int = COLD) -> DataFrame:
+    """Pairs of documents that share keys of at most ``cold`` documents: ``a < b, shared (number of keys), weight (their sum)``.
 
     ``keys``: ``key long, doc long, mask byte, weight int``, unique by key and doc;
     a pair needs bit 1 in one mask and bit 2 in the other (mask 3: any pair).
-    ``totals``: ``doc, total`` (the weight of all its keys).
     """
-    stage = Stage(keys.sparkSession, "buckets")
-    rows = keys.select("key", "doc", "mask", "weight").repartition("key").sortWithinPartitions("key")
-    out = stage.write(rows.mapInArrow(_runs(cold), _OUT))
-    cold_pairs = out.where("b is not null").select("a", "b", "weight")
-    hot_rows = out.where("b is null").select("key", F.col("a").alias("doc"), "mask", "weight")
-    hot = hot_rows.groupBy("doc").agg(F.sum("weight").alias("hot"))
-    if hot_rows.isEmpty():
-        pairs = cold_pairs
-    else:
-        share = hot.join(totals, "doc").select("doc", (F.col("hot") / F.col("total")).alias("share")).where(F.col("share") >= MARGIN * hot_share)
-        kept = stage.write(hot_rows.join(share, "doc"))
-        x = kept.where(F.col("share") >= hot_share)
-        y = kept.select("key", F.col("doc").alias("doc2"), F.col("mask").alias("mask2"), F.col("weight").alias("weight2"), F.col("share").alias("share2"))
-        once = (F.col("share2") < hot_share) | (F.col("doc") < F.col("doc2"))  # two hot-dominated documents meet twice
-        both = x.join(y, "key").where(once & (F.col("doc") != F.col("doc2")))
-        both = both.where("((mask & 1) <> 0 and (mask2 & 2) <> 0) or ((mask & 2) <> 0 and (mask2 & 1) <> 0)")
-        pairs = cold_pairs.unionByName(both.select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b"), F.least("weight", "weight2").alias("weight")))
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.sum("weight").alias("weight")), hot
+    few = keys.select("key", "doc", "mask", "weight").mapInArrow(_few(cold), "key long, doc long, mask byte, weight int")
+    rows = few.repartition("key").sortWithinPartitions("key")
+    return rows.mapInArrow(_runs(cold), _OUT).groupBy("a", "b").agg(F.count("*").alias("shared"), F.sum("weight").alias("weight"))

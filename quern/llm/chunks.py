@@ -4,20 +4,24 @@
 wherever its value is divisible by DIVISOR, so cuts depend on nearby words only
 and an edit changes the chunks around it, not those after it.  LAYERS rolling
 hashes with different seeds cut every record in as many ways; a chunk's digest is
-taken over its words and layer.  Records of at most SHORT words also get exact
-prefix keys over their word runs, since they have too few chunks.
+taken over its words and layer.
 
-*Overlap.*  Chunk digests are joined between the sides (train, evaluation) through
-``bucket_pairs``, which never pairs all rows of a frequent chunk, and the lengths of the
-shared chunks are summed.  Candidates share at least MIN_OVERLAP of what the chunks
-that are not frequent cover of one of the two records.  Frequent chunks alone miss pairs
-(records of one template), so every pair that can reach the likeness is a candidate by
-its prefix keys, too (``prefix``).  For all candidates the overlap fraction is
-summed over all shared chunks, and the exact likeness decides.
+*Overlap.*  ``record_overlaps`` joins the chunk digests of one side (train, evaluation)
+with the distinct digests of the other, and sums for every record the lengths of its
+chunks that occur there: the part of the record that the other side holds, in one record
+or in many.  A digest is one row per side in that join, however frequent.
+
+*Pairs.*  ``cross_overlaps`` joins digests between the sides through ``bucket_pairs``
+and sums the lengths of the chunks that two records share; candidates share at least
+MIN_OVERLAP of the shorter one.  Chunks that more than COLD records hold pair none of
+them; the exact way for these and for records with too few chunks are prefix keys over
+3-word runs (``prefix``), which have no bound.  For all candidates the overlap fraction
+is summed over all shared chunks, and the exact likeness decides.
 
 Copies (records with the same words) are one representative while chunks are
-joined.  Defined cases: null and blank texts are like nothing; records in neither
-side are left out; a text that stands on both sides pairs its own records.
+joined.  Defined cases: null and blank texts are like nothing and overlap with
+nothing; records in neither side are left out; a text that stands on both sides pairs
+its own records.
 """
 
 from __future__ import annotations
@@ -31,17 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import flatwords as fw
-from quern.llm.buckets import MARGIN, bucket_pairs
-from quern.llm.likeness import short_keys, text_keys, verify_pairs
+from quern.llm.buckets import bucket_pairs
+from quern.llm.likeness import text_keys, verify_pairs
 from quern.llm.prefix import gram_order, prefix_keys, prefix_pairs
 from quern.plans.stage import Stage
 
 WINDOW = 2
-DIVISOR = 5
-LAYERS = 4
-SHORT = 24
-MIN_OVERLAP = 0.03
-HOT_SHARE = 0.4
+DIVISOR = 6
+LAYERS = 2
+MIN_OVERLAP = 0.1
 MIN_LIKENESS = 0.6
 
 
@@ -68,18 +70,22 @@ def content_chunks(w: fw.Words, layer: int, window: int = WINDOW, divisor: int =
     return text[begins], digest.view(np.int64), ends - begins
 
 
+def chunk_sums(w: fw.Words, layer: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct chunks of all texts: (text, digest, words in all places of it), sorted by text."""
+    text, digest, size = content_chunks(w, layer)
+    order = np.lexsort((digest, text))
+    text, digest, size = text[order], digest[order], size[order]
+    if not len(text):
+        return text, digest, size
+    first = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (digest[1:] != digest[:-1]))))
+    return text[first], digest[first], np.add.reduceat(size, first)
+
+
 def overlap_fraction(x: fw.Words, y: fw.Words) -> np.ndarray:
     """Words in chunks that text i of x shares with text i of y, over the words of the shorter, as a mean of all layers."""
     shared = np.zeros(x.n)
     for layer in range(LAYERS):
-        sides = []
-        for w in (x, y):
-            text, digest, size = content_chunks(w, layer)
-            order = np.lexsort((digest, text))
-            text, digest, size = text[order], digest[order], size[order]
-            first = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (digest[1:] != digest[:-1])))) if len(text) else text
-            sides.append((text[first], digest[first], np.add.reduceat(size, first) if len(first) else size))
-        text, digest, size = (np.concatenate(z) for z in zip(*sides))
+        text, digest, size = (np.concatenate(z) for z in zip(chunk_sums(x, layer), chunk_sums(y, layer)))
         order = np.lexsort((digest, text))
         text, digest, size = text[order], digest[order], size[order]
         both = np.flatnonzero((text[1:] == text[:-1]) & (digest[1:] == digest[:-1]))
@@ -87,29 +93,20 @@ def overlap_fraction(x: fw.Words, y: fw.Words) -> np.ndarray:
     return shared / np.maximum(np.minimum(x.counts, y.counts) * LAYERS, 1)
 
 
+def _chunk_lists(w: fw.Words, layers: int) -> list[pa.Array]:
+    text, digest, size = (np.concatenate(x) for x in zip(*(chunk_sums(w, layer) for layer in range(layers))))
+    order = np.argsort(text, kind="stable")
+    offsets = pa.array(np.concatenate(([0], np.cumsum(np.bincount(text, minlength=w.n)))).astype(np.int32))
+    return [pa.ListArray.from_arrays(offsets, pa.array(x[order], t)) for x, t in ((digest, pa.int64()), (size, pa.int32()))]
+
+
 def _cut(min_likeness: float, grams: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, mask = batch.column(0), batch.column(2)
             for w in fw.pieces(batch.column(1).to_pylist()):
-                t1, t2 = text_keys(w)
-                parts = []
-                for layer in range(LAYERS):
-                    text, digest, size = content_chunks(w, layer)
-                    order = np.lexsort((digest, text))
-                    text, digest, size = text[order], digest[order], size[order]
-                    new = np.ones(len(text), bool)
-                    new[1:] = (text[1:] != text[:-1]) | (digest[1:] != digest[:-1])
-                    first = np.flatnonzero(new)
-                    parts.append((text[first], digest[first], np.add.reduceat(size, first) if len(first) else size))
-                text, h = short_keys(w, 3, min_likeness, SHORT)
-                parts.append((text, h.view(np.int64), w.counts[text]))
-                text, digest, size = (np.concatenate(x) for x in zip(*parts))
-                order = np.argsort(text, kind="stable")
-                offsets = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=w.n)))).astype(np.int32)
-                lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x[order], t)) for x, t in ((digest, pa.int64()), (size, pa.int32()))]
                 prefix, runs = prefix_keys(w, 3, min_likeness, grams.value)
-                cols = [docs.slice(w.first, w.n), mask.slice(w.first, w.n), pa.array(t1), pa.array(t2), pa.array(w.counts), *lists, *prefix, pa.array(runs, pa.int32())]
+                cols = [docs.slice(w.first, w.n), mask.slice(w.first, w.n), *map(pa.array, text_keys(w)), pa.array(w.counts), *_chunk_lists(w, LAYERS), *prefix, pa.array(runs, pa.int32())]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc", "mask", "t1", "t2", "words", "digests", "sizes", "prefix", "places", "runs"])
 
     return run
@@ -132,17 +129,37 @@ def cross_overlaps(records: DataFrame, min_likeness: float = MIN_LIKENESS) -> tu
     members = stage.write(cut.select("t1", "t2", "doc", F.col("mask").alias("own")).join(ids, ["t1", "t2"]).select("rep", "doc", "own", "mask"))
     reps = stage.write(cut.drop("mask").join(members.where("doc = rep").select("doc", "mask"), "doc").select("doc", "mask", "words", "runs", F.arrays_zip("digests", "sizes").alias("c"), F.arrays_zip("prefix", "places").alias("p")))
     rows = reps.select("doc", "mask", F.explode("c").alias("c")).select(F.col("c.digests").alias("key"), "doc", "mask", F.col("c.sizes").alias("weight"))
-    totals = reps.select("doc", F.aggregate("c", F.lit(0), lambda s, x: s + x.sizes).alias("total"))
-    pairs, hot = bucket_pairs(rows, totals, hot_share=HOT_SHARE)
-    basis = stage.write(totals.join(hot, "doc", "left").select("doc", F.greatest(F.col("total") - F.coalesce("hot", F.lit(0)), F.lit(1)).alias("basis"), (F.col("hot") >= MARGIN * HOT_SHARE * F.col("total")).alias("is_hot")))
-    pairs = pairs.join(basis.toDF("a", "basis_a", "hot_a"), "a").join(basis.toDF("b", "basis_b", "hot_b"), "b")
-    enough = (F.col("weight") >= MIN_OVERLAP * F.least("basis_a", "basis_b")) | (F.col("hot_a") & F.col("hot_b"))
+    words = reps.select("doc", "words")
+    pairs = bucket_pairs(rows).join(words.toDF("a", "words_a"), "a").join(words.toDF("b", "words_b"), "b")
+    pairs = pairs.where(F.col("weight") >= MIN_OVERLAP * LAYERS * F.least("words_a", "words_b")).select("a", "b")
     keys = stage.write(reps.select("doc", "mask", "runs", F.explode("p").alias("p")).select(F.col("p.prefix").alias("key"), "doc", "mask", F.col("p.places").alias("place"), "runs"))
-    pairs = stage.write(pairs.where(enough).select("a", "b").unionByName(prefix_pairs(keys, min_likeness)).distinct())
+    pairs = stage.write(pairs.unionByName(prefix_pairs(keys, min_likeness)).distinct())
     sure = verify_pairs(pairs, records.select("doc", "text"), overlap_fraction, "overlap", 3, min_likeness)
     return stage.write(sure), members.select("rep", "doc", F.col("own").alias("mask"))
 
 
+def _chunks_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for w in fw.pieces(batch.column(1).to_pylist()):
+            cols = [batch.column(0).slice(w.first, w.n), batch.column(2).slice(w.first, w.n), pa.array(w.counts), *_chunk_lists(w, 1)]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc", "mask", "words", "digests", "sizes"])
+
+
+def record_overlaps(records: DataFrame) -> DataFrame:
+    """``doc, mask, words, shared, overlap``: of each record the words in chunks that the other side holds, and their fraction.
+
+    ``records`` as for ``cross_overlaps``.  A record without words has the overlap 0.
+    """
+    stage = Stage(records.sparkSession, "overlaps")
+    records = records.where("doc is not null and mask in (1, 2)").select("doc", "text", "mask")
+    cut = stage.write(records.mapInArrow(_chunks_only, "doc long, mask byte, words long, digests array<long>, sizes array<int>"))
+    chunks = cut.select("doc", "mask", F.explode(F.arrays_zip("digests", "sizes")).alias("c")).select("doc", "mask", F.col("c.digests").alias("key"), F.col("c.sizes").alias("size"))
+    both = chunks.groupBy("key").agg(F.bit_or("mask").alias("sides")).where("sides = 3").select("key")
+    shared = chunks.join(both, "key", "left_semi").groupBy("doc").agg(F.sum("size").alias("shared"))
+    out = cut.select("doc", "mask", "words").join(shared, "doc", "left").na.fill(0, ["shared"])
+    return out.select("doc", "mask", "words", "shared", F.when(F.col("words") > 0, F.col("shared") / F.col("words")).otherwise(0.0).alias("overlap"))
+
+
 def expand_across(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """``train_doc, eval_doc, overlap, likeness`` of all records, copies included."""
     same = members.groupBy("rep").agg(F.bit_or("mask").alias("m")).where("m = 3")

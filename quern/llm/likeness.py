@@ -44,23 +44,6 @@ def distinct_grams(w: fw.Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return text[new], h[new]
 
 
-def short_keys(w: fw.Words, k: int, threshold: float, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Exact keys (text, hash) for texts of at most ``longest`` words.
-
-    Of the n distinct k-word runs of a text, sorted by hash, the first
-    n - ceil(threshold * n) + 1: two texts of at least that likeness share one.
-    """
-    text, h = distinct_grams(w, k)
-    keep = w.counts[text] <= longest
-    text, h = text[keep], h[keep]
-    n = np.bincount(text, minlength=w.n)
-    first = np.concatenate(([0], np.cumsum(n)))[:-1]
-    rank = np.arange(len(text)) - first[text]
-    need = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
-    ok = rank < need[text]
-    return text[ok], h[ok]
-
-
 def pair_likeness(x: fw.Words, y: fw.Words, k: int) -> np.ndarray:
     """Likeness of text i of x and text i of y."""
     tx, hx = distinct_grams(x, k)

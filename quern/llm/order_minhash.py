@@ -4,15 +4,17 @@
 of occurrence, so repeats count.  Each of SKETCHES orderings picks the PICKS
 smallest labelled k-mers and hashes them in the order in which they stand in the
 text: two texts agree in a sketch with about (weighted likeness) ** PICKS, less
-where their parts are reordered.  Texts of at most SHORT words also get exact
-prefix keys, since a few k-mers make poor sketches.
+where their parts are reordered.
 
-*Candidates.*  Texts that agree in at least MIN_SHARED sketches (or in a prefix
-key, for short ones), found through ``bucket_pairs``; and, since sketches miss texts
-whose parts repeat or move and ``bucket_pairs`` joins frequent sketches of some texts
-only, every pair that can reach the likeness by its prefix keys (``prefix``).  The
-likeness is exact thereby; pairs that reach the edit similarity alone come from
-sketches, with their misses.
+*Candidates.*  Texts that agree in at least MIN_SHARED sketches of at most COLD texts
+(``buckets``).  Sketches miss texts whose parts repeat or move, and a sketch that many
+texts share pairs none of them: the exact way for both are the prefix keys over the
+distinct k-mers (``prefix``), which miss no pair that can reach the likeness, however
+large the family, and have no bound.
+
+*Classes.*  ``similar_classes`` needs no pairs within a family: every text is linked to
+the first text of each of its sketches, however many share it; what these links join is
+one class already, and the prefix keys then pair texts of different classes only.
 
 *Verification.*  Word alignment in a band around the diagonal, for all candidates
 of a batch at once, gives the edit similarity; the exact likeness settles pairs
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from quern.functions.keys import is_blank
 from quern.llm import flatwords as fw
 from quern.llm.buckets import bucket_pairs
-from quern.llm.likeness import edit_similarity, short_keys, text_keys, verify_pairs
+from quern.llm.likeness import edit_similarity, text_keys, verify_pairs
 from quern.llm.prefix import gram_order, prefix_keys, prefix_pairs
 from quern.llm.splits import hash_to_min
 from quern.plans.stage import Stage
@@ -47,14 +49,11 @@ K = 3
 PICKS = 3
 SKETCHES = 48
 MIN_SHARED = 2
-SHORT = 40
 MIN_LIKENESS = 0.6
 MIN_EDIT = 0.8
 _POS = np.uint64(24)
 _LOW = np.uint64((1 << 24) - 1)
 _ALL = np.uint64((1 << 64) - 1)
-#: Weight of a prefix key of a short text: alone it makes a candidate.
-_SURE = MIN_SHARED
 
 
 def order_sketches(w: fw.Words, k: int, picks: int, sketches: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,66 +101,83 @@ def order_sketches(w: fw.Words, k: int, picks: int, sketches: int) -> tuple[np.n
     return enough, out
 
 
-def _sketch(k: int, picks: int, sketches: int, short: int, min_likeness: float, grams: Broadcast):
+def _sketch(k: int, picks: int, sketches: int, min_likeness: float, grams: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for w in fw.pieces(batch.column(1).to_pylist()):
                 t1, t2 = text_keys(w)
                 texts, sk = order_sketches(w, k, picks, sketches)
-                keys: list = [None] * w.n
-                for t, row in zip(texts, sk):
-                    keys[t] = row
-                extra: dict[int, list] = {}
-                for t, h in zip(*short_keys(w, k, min_likeness, short)):
-                    extra.setdefault(int(t), []).append(np.uint64(h).astype(np.int64))
-                exact = [extra.get(i) for i in range(w.n)]
+                has = np.zeros(w.n, bool)
+                has[texts] = True
+                offsets = pa.array(np.concatenate(([0], np.cumsum(has * sketches))).astype(np.int32))
                 prefix, runs = prefix_keys(w, k, min_likeness, grams.value)
-                out = [pa.array(ids[w.first : w.first + w.n]), pa.array(t1), pa.array(t2), pa.array(keys, pa.list_(pa.int64())), pa.array(exact, pa.list_(pa.int64())), *prefix, pa.array(runs, pa.int32())]
-                yield pa.RecordBatch.from_arrays(out, names=["doc", "t1", "t2", "keys", "exact", "prefix", "places", "runs"])
+                out = [pa.array(ids[w.first : w.first + w.n]), pa.array(t1), pa.array(t2), pa.ListArray.from_arrays(offsets, pa.array(sk.ravel())), *prefix, pa.array(runs, pa.int32())]
+                yield pa.RecordBatch.from_arrays(out, names=["doc", "t1", "t2", "keys", "prefix", "places", "runs"])
 
     return run
 
 
+def _sketched(docs: DataFrame, stage: Stage, min_likeness: float, k: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Texts that are cases (``doc, text``), members ``rep, doc``, and of the representatives the sketches ``key, doc`` and prefix keys."""
+    docs = docs.where(~is_blank(F.col("text")) & F.col("doc").isNotNull()).select("doc", "text")
+    schema = "doc long, t1 long, t2 long, keys array<long>, prefix array<long>, places array<int>, runs int"
+    grams = gram_order(docs, k)
+    sketched = stage.write(docs.mapInArrow(_sketch(k, PICKS, SKETCHES, min_likeness, grams), schema).where("runs > 0"))
+    grams.unpersist()
+    ids = stage.write(sketched.groupBy("t1", "t2").agg(F.min("doc").alias("rep")))
+    members = sketched.select("t1", "t2", "doc").distinct().join(ids, ["t1", "t2"]).select("rep", "doc")
+    reps = sketched.join(ids.select(F.col("rep").alias("doc")), "doc", "left_semi").dropDuplicates(["doc"])
+    sketches = reps.select("doc", F.explode("keys").alias("key"))
+    prefix = reps.select("doc", "runs", F.explode(F.arrays_zip("prefix", "places")).alias("p"))
+    prefix = prefix.select(F.col("p.prefix").alias("key"), "doc", F.lit(3).cast("byte").alias("mask"), F.col("p.places").alias("place"), "runs")
+    return docs, members, sketches, stage.write(prefix)
+
+
 def near_duplicates(docs: DataFrame, min_likeness: float = MIN_LIKENESS, min_edit: float = MIN_EDIT, k: int = K) -> tuple[DataFrame, DataFrame]:
     """Pairs of similar texts and the texts' members.
 
     ``docs``: ``doc long, text``.  Returns pairs of representatives
     ``a < b, likeness, edit_similarity`` with a likeness of at least
-    ``min_likeness`` or an edit similarity of at least ``min_edit``, and the unique
-    members ``rep, doc`` of every text that is a case.
+    ``min_likeness`` (all of them) or an edit similarity of at least ``min_edit`` (those
+    that sketches find), and the unique members ``rep, doc`` of every text that is a case.
     """
     stage = Stage(docs.sparkSession, "orderminhash")
-    docs = docs.where(~is_blank(F.col("text")) & F.col("doc").isNotNull()).select("doc", "text")
-    schema = "doc long, t1 long, t2 long, keys array<long>, exact array<long>, prefix array<long>, places array<int>, runs int"
-    grams = gram_order(docs, k)
-    sketched = stage.write(docs.mapInArrow(_sketch(k, PICKS, SKETCHES, SHORT, min_likeness, grams), schema).where("keys is not null or exact is not null"))
-    grams.unpersist()
-    reps = sketched.groupBy("t1", "t2").agg(F.min("doc").alias("doc"), F.any_value("keys").alias("keys"), F.any_value("exact").alias("exact"))
-    members = sketched.select("t1", "t2", "doc").distinct().join(sketched.groupBy("t1", "t2").agg(F.min("doc").alias("rep")), ["t1", "t2"]).select("rep", "doc")
-    one = F.transform("keys", lambda x: F.struct(x.alias("key"), F.lit(1).alias("weight")))
-    sure = F.transform(F.coalesce("exact", F.array().cast("array<long>")), lambda x: F.struct(F.xxhash64(x).alias("key"), F.lit(_SURE).alias("weight")))
-    rows = reps.select("doc", F.explode(F.concat(F.coalesce(one, F.array().cast("array<struct<key:bigint,weight:int>>")), sure)).alias("k"))
-    rows = rows.select("k.key", "doc", F.lit(3).cast("byte").alias("mask"), "k.weight")
-    totals = reps.select("doc", (F.coalesce(F.size("keys"), F.lit(0)) + _SURE * F.coalesce(F.size("exact"), F.lit(0))).alias("total"))
-    sketch_pairs = bucket_pairs(rows, totals)[0].where(F.col("weight") >= MIN_SHARED).select("a", "b")
-    own = sketched.groupBy("t1", "t2").agg(F.min("doc").alias("doc"), F.any_value("runs").alias("runs"), F.any_value(F.arrays_zip("prefix", "places")).alias("p"))
-    keys = stage.write(own.select("doc", "runs", F.explode("p").alias("p")).select(F.col("p.prefix").alias("key"), "doc", F.lit(3).cast("byte").alias("mask"), F.col("p.places").alias("place"), "runs"))
-    pairs = stage.write(sketch_pairs.unionByName(prefix_pairs(keys, min_likeness)).distinct())
+    docs, members, sketches, prefix = _sketched(docs, stage, min_likeness, k)
+    rows = sketches.select("key", "doc", F.lit(3).cast("byte").alias("mask"), F.lit(1).alias("weight"))
+    pairs = bucket_pairs(rows).where(F.col("shared") >= MIN_SHARED).select("a", "b")
+    pairs = stage.write(pairs.unionByName(prefix_pairs(prefix, min_likeness)).distinct())
     return stage.write(verify_pairs(pairs, docs, edit_similarity, "edit_similarity", 3, min_likeness, min_edit)), members
 
 
-def duplicate_classes(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """One row per document: ``doc, class_id, links, copies``.
+def similar_classes(docs: DataFrame, min_likeness: float = MIN_LIKENESS, k: int = K) -> DataFrame:
+    """One row per text that is a case: ``doc, class_id, copies``.
 
-    Classes are the connected components of similar texts; class_id is the
-    smallest id; links counts similar other texts, copies other documents with
-    the same words.
+    Classes are the connected components of texts of at least the likeness; class_id is
+    the smallest id, copies the number of other documents with the same words.
     """
-    edges = pairs.select(F.lpad(F.col("a").cast("string"), 20, "0").alias("a"), F.lpad(F.col("b").cast("string"), 20, "0").alias("b"))
-    component = hash_to_min(edges).select(F.col("node").cast("long").alias("rep"), F.col("component").cast("long").alias("class_id"))
-    degree = pairs.select(F.col("a").alias("x")).unionByName(pairs.select(F.col("b").alias("x"))).groupBy(F.col("x").alias("rep")).agg(F.count("*").alias("links"))
+    stage = Stage(docs.sparkSession, "classes")
+    docs, members, sketches, prefix = _sketched(docs, stage, min_likeness, k)
+    first = sketches.groupBy("key").agg(F.min("doc").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
+    stars = stage.write(sketches.join(first, "key").where(F.col("doc") != F.col("a")).select("a", F.col("doc").alias("b")).distinct())
+    links = stage.write(_links(stars, docs, min_likeness))
+    found = stage.write(_components(links))
+    known = prefix.join(found, prefix.doc == found.rep, "left").select(prefix["*"], F.coalesce("class_id", "doc").alias("part"))
+    several = known.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
+    rest = stage.write(known.join(several, "key", "left_semi"))
+    more = _links(stage.write(prefix_pairs(rest, min_likeness, "part")), docs, min_likeness)
+    component = _components(links.unionByName(more))
     copies = members.groupBy("rep").agg((F.count("*") - 1).alias("copies"))
-    reps = copies.join(component, "rep", "left").join(degree, "rep", "left")
-    reps = reps.select("rep", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("links", F.lit(0).cast("long")).alias("links"), "copies")
-    return members.join(reps, "rep").select("doc", "class_id", "links", "copies")
+    reps = copies.join(component, "rep", "left").select("rep", F.coalesce("class_id", "rep").alias("class_id"), "copies")
+    return members.join(reps, "rep").select("doc", "class_id", "copies")
+
+
+def _links(pairs: DataFrame, docs: DataFrame, min_likeness: float) -> DataFrame:
+    """The pairs of at least the likeness."""
+    return verify_pairs(pairs, docs, edit_similarity, "edit_similarity", 3, min_likeness).select("a", "b")
+
+
+def _components(links: DataFrame) -> DataFrame:
+    """``rep, class_id`` of all linked representatives."""
+    padded = [F.lpad(F.col(c).cast("string"), 20, "0").alias(c) for c in ("a", "b")]
+    return hash_to_min(links.select(*padded)).select(F.col("node").cast("long").alias("rep"), F.col("component").cast("long").alias("class_id"))

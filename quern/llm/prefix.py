@@ -112,15 +112,17 @@ def prefix_keys(w: fw.Words, k: int, threshold: float, order: tuple[np.ndarray,
     return lists, n
 
 
-def prefix_pairs(keys: DataFrame, threshold: float) -> DataFrame:
+def prefix_pairs(keys: DataFrame, threshold: float, apart: str | None = None) -> DataFrame:
     """Unique pairs ``a < b`` that may reach the likeness, from ``key, doc, mask, place, runs``.
 
-    A pair needs bit 1 in one mask and bit 2 in the other (mask 3: any pair).
+    A pair needs bit 1 in one mask and bit 2 in the other (mask 3: any pair), and
+    different values of the column ``apart``, if one is named.
     """
-    x, y = keys.select("key", "doc", "mask", "place", "runs"), keys.toDF(*[f"{c}2" if c != "key" else c for c in keys.columns])
-    y = y.select("key", "doc2", "mask2", "place2", "runs2")
+    x, y = keys, keys.toDF(*[f"{c}2" if c != "key" else c for c in keys.columns])
     sides = "((mask & 1) <> 0 and (mask2 & 2) <> 0) or ((mask & 2) <> 0 and (mask2 & 1) <> 0)"
     most = F.least(F.col("runs") - F.col("place"), F.col("runs2") - F.col("place2"))
     enough = most * F.lit(1 + threshold) >= (F.col("runs") + F.col("runs2")) * F.lit(threshold) - 1e-6
     both = x.join(y, "key").where((F.col("doc") < F.col("doc2")) & enough).where(sides)
+    if apart:
+        both = both.where(F.col(apart) != F.col(f"{apart}2"))
     return both.select(F.col("doc").alias("a"), F.col("doc2").alias("b")).distinct()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.keys import is_blank
 from quern.llm.likeness import expand_pairs
-from quern.llm.order_minhash import duplicate_classes, near_duplicates
+from quern.llm.order_minhash import near_duplicates, similar_classes
 from quern.sources.tables import table
 
 
@@ -23,8 +23,8 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
-    pairs, members = near_duplicates(_texts(spark, sf))
-    return duplicate_classes(pairs.where("likeness >= 0.6"), members).withColumnRenamed("doc", "traj_id")
+    """The class of every trajectory, and how many others have the same words."""
+    return similar_classes(_texts(spark, sf)).withColumnRenamed("doc", "traj_id")
 
 
 QUERIES = {"p5_found": p5_found, "p5_groups": p5_groups}
@@ -46,9 +46,8 @@ e as (select distinct p.rep a, q.rep b from v join n x on x.traj_id = v.a join n
       where v.shared >= 0.6 * (x.n + y.n - v.shared) and p.rep <> q.rep),
 adj as (select a, b from e union select b, a from e),
 reach as (select rep x, rep y from m union select r.x, adj.b from reach r join adj on adj.a = r.y),
-k as (select x, min(y) class_id from reach group by 1),
-l as (select a, count(*) links from adj group by 1)
-select m.traj_id, k.class_id, coalesce(l.links, 0) as links, m.copies from m join k on k.x = m.rep left join l on l.a = m.rep"""
+k as (select x, min(y) class_id from reach group by 1)
+select m.traj_id, k.class_id, m.copies from m join k on k.x = m.rep"""
 ORACLES = {
     "p5_groups": _GROUPS,
     "p5_found": _FOUND + "select v.a as traj_id_a, v.b as traj_id_b from v join n x on x.traj_id = v.a join n y on y.traj_id = v.b where v.shared >= 0.6 * (x.n + y.n - v.shared)",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.keys import clean_key
-from quern.llm.chunks import cross_overlaps, expand_across
+from quern.llm.chunks import cross_overlaps, expand_across, record_overlaps
 from quern.operators.current import current_records
 from quern.plans.stage import Stage
 from quern.sources.tables import table
@@ -14,14 +14,19 @@ from quern.sources.tables import table
 EVALUATION = ("dev", "eval", "test", "held_out")
 
 
-def _overlaps(spark: SparkSession, sf: str) -> DataFrame:
-    """Pairs of current records: train_*, eval_* with task_id, split and source."""
+def _records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Current records (doc, task_id, split, source, mask) and the texts of those of a side (doc, text, mask)."""
     rows = table(spark, sf, "prompts")
     records = current_records(rows, "task_id", "row_idx", ["split", "source"])
     split = clean_key("split")
     mask = F.when(split == "train", 1).when(split.isin(*EVALUATION), 2).cast("byte")
     records = Stage(spark, "prompts").write(records.select("task_id", F.col("row_idx").alias("doc"), split.alias("split"), clean_key("source").alias("source"), mask.alias("mask")))
-    texts = rows.select(F.col("row_idx").alias("doc"), F.col("prompt").alias("text")).join(records.where("mask is not null").select("doc", "mask"), "doc")
+    return records, rows.select(F.col("row_idx").alias("doc"), F.col("prompt").alias("text")).join(records.where("mask is not null").select("doc", "mask"), "doc")
+
+
+def _pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of current records: train_*, eval_* with task_id, split and source."""
+    records, texts = _records(spark, sf)
     pairs, members = cross_overlaps(texts)
     out = expand_across(pairs, members)
     train = records.select(F.col("doc").alias("train_doc"), F.col("task_id").alias("train_task_id"), F.col("source").alias("train_source"))
@@ -30,16 +35,23 @@ def _overlaps(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    out = _overlaps(spark, sf)
+    out = _pairs(spark, sf)
     return out.select(F.least("train_task_id", "eval_task_id").alias("task_id_a"), F.greatest("train_task_id", "eval_task_id").alias("task_id_b"))
 
 
 def p6_report(spark: SparkSession, sf: str) -> DataFrame:
     """Affected evaluation records and pairs per split and source."""
-    return _overlaps(spark, sf).groupBy("eval_split", "eval_source").agg(F.count("*").alias("n_pairs"), F.count_distinct("eval_task_id").alias("n_records"))
+    return _pairs(spark, sf).groupBy("eval_split", "eval_source").agg(F.count("*").alias("n_pairs"), F.count_distinct("eval_task_id").alias("n_records"))
+
+
+def p6_overlaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Per split and source of all records of a side: records, words, words in chunks that the other side holds, and records of which these are at least half."""
+    records, texts = _records(spark, sf)
+    out = record_overlaps(texts).join(records.select("doc", "split", "source"), "doc").groupBy("split", "source")
+    return out.agg(F.count("*").alias("n_records"), F.sum("words").alias("words"), F.sum("shared").alias("shared_words"), F.avg("overlap").alias("mean_overlap"), F.count_if(F.col("overlap") >= 0.5).alias("n_half"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_report": p6_report}
+QUERIES = {"p6_found": p6_found, "p6_report": p6_report, "p6_overlaps": p6_overlaps}
 
 _K = "nullif(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '')"
 _FOUND = f"""

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from quern.llm import flatwords as fw
-from quern.llm.likeness import edit_similarity, pair_likeness, short_keys, text_keys
+from quern.llm.likeness import edit_similarity, pair_likeness, text_keys
 
 WORD = re.compile("[a-z0-9_]+")
 ODD = ["", None, "...", "A b_1 C9", "naïve Σ İstanbul Kelvin", "x" * 5000, "​a​b", "a\n\nb\tc", "é", "🙂 ok", "_ __ 1"]
@@ -89,19 +89,3 @@ def test_alignment_outside_the_band():
     x, y = one(["a " * 100, "a b"]), one(["a", "a c"])
     got = edit_similarity(x, y, 8)
     assert np.isnan(got[0]) and got[1] == 0.5
-
-
-def test_short_keys_lose_no_pair():
-    rng = random.Random(8)
-    texts = []
-    for _ in range(150):
-        base = [rng.choice("abcdef") for _ in range(rng.randint(3, 14))]
-        texts += [" ".join(base), " ".join(edited(rng, base, 1))]
-    w = one(texts)
-    keys = [set() for _ in texts]
-    for t, h in zip(*short_keys(w, 3, 0.6, 40)):
-        keys[t].add(int(h))
-    for i in range(0, len(texts)):
-        for j in range(i):
-            if brute_like(texts[i], texts[j]) >= 0.6:
-                assert keys[i] & keys[j]
