@@ -13,11 +13,14 @@ in the labelled documents count as one word (``~``), as names would.
 *Chain.*  insult -> threat -> hate -> sexual -> abusive.  Each link is a linear
 (logistic) model over the features and the logits of all links before it; those
 are out-of-fold predictions in training.  The review gives one label per
-document, so the labels of wordings are weak: the wordings of documents judged
-harmless are harmless; in documents judged abusive those with seed words are
-abusive, of the categories of the seeds, and once a first chain is fitted, those
-that it finds likely.  Labels that the first chain contradicts strongly are left
-out, as some judgements are wrong.
+document, so the labels of wordings are weak (multiple-instance learning): the
+wordings of documents judged harmless are harmless; in documents judged abusive those
+are abusive that hold a seed word, or the features that speak most for the document
+(features that stand in abusive documents too often for chance), and once a first
+chain is fitted, those with such a feature that it finds likely.  Categories are those
+of the seeds, and for wordings without seeds those that the first chain finds.  Labels
+that it contradicts strongly are left out, as some judgements are wrong.  The
+threshold is moved where out-of-fold scores of the judged documents ask for it.
 
 *Bounds.*  The model is fitted on the driver on at most MAX_LABELLED labelled documents
 (smallest hashes of the id) and MAX_WORDINGS distinct wordings; scoring covers
@@ -25,8 +28,8 @@ every document and its whole text.
 
 Defined cases: null and blank texts score 0; null judgements are ignored; a
 document with as many judgements for as against is not used; without any usable
-judgement of both kinds the seed words alone decide, next to a word that
-addresses or names people.
+judgement of both kinds, or without any sign of abuse in the documents judged so, the
+seed words alone decide, next to a word that addresses or names people.
 """
 
 from __future__ import annotations
@@ -50,6 +53,11 @@ L2 = 2e-5
 STEPS = 60
 COMMON = 5  # documents of the labelled sample in which a word must stand to count as common
 THRESHOLD = 0.5
+#: How much more likely than chance, in logarithms, the documents of a feature that speaks for abuse must be, and the log odds that a wording needs.
+SURE = 3.0
+EVIDENCE = 2.0
+#: By how much another threshold must be better (in F1) to replace 0.
+GAIN = 0.02
 BALANCE = 0.35  # weight of all abusive wordings over that of all others
 
 CATEGORIES = ("insult", "threat", "hate", "sexual", "abusive")
@@ -211,9 +219,9 @@ def fit_linear(index: np.ndarray, starts: np.ndarray, extra: np.ndarray, y: np.n
 class Chain:
     """Fitted chain: features by name, and per link its weights and those of the links before."""
 
-    def __init__(self, common: set[str]):
-        self.common = common
-        self.lexicon = Lexicon()
+    def __init__(self, common: set[str], seeds: dict[str, str] = SEEDS):
+        self.common, self.seed_words = common, seeds
+        self.lexicon = Lexicon(seeds)
         self.harmless: set[str] = set()
         self.features: dict[str, int] = {"": 0}
         self.weights = np.zeros((1, len(CATEGORIES)))
@@ -392,11 +400,28 @@ class Chain:
         self.compile()
         return before
 
+    def shift(self, by: float) -> None:
+        """Lower the logits of the last link."""
+        self.weights[0, -1] -= by
+        self.compile()
+
+    def by_seeds(self) -> Chain:
+        """Without labels: a seed word next to a word that addresses or names people is abusive, of the categories of the seed."""
+        self.features = {"": 0, "#any people": 1} | {f"#{c}": i + 2 for i, c in enumerate(CATEGORIES[:-1])}
+        self.weights = np.zeros((len(self.features), len(CATEGORIES)))
+        self.weights[0] = -4
+        self.weights[1] = 2
+        self.weights[1, -1] = 6
+        for i in range(len(CATEGORIES) - 1):
+            self.weights[i + 2, i] = 4
+        self.compile()
+        return self
+
     def __getstate__(self) -> dict:
-        return {k: getattr(self, k) for k in ("common", "harmless", "features", "weights", "before")}
+        return {k: getattr(self, k) for k in ("common", "seed_words", "harmless", "features", "weights", "before")}
 
     def __setstate__(self, state: dict) -> None:
-        self.__init__(state["common"])
+        self.__init__(state["common"], state["seed_words"])
         self.__dict__.update(state)
         self.compile()
 
@@ -407,14 +432,14 @@ def _rows(lists: list[np.ndarray], at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(picked), np.concatenate(([0], np.cumsum(sizes)[:-1]))
 
 
-def train_chain(documents: Iterable[tuple[int, str, int]]) -> Chain:
+def train_chain(documents: Iterable[tuple[int, str, int]], seeds: dict[str, str] = SEEDS) -> Chain:
     """Chain fitted on labelled documents ``(id, text, label 0 or 1)``."""
     docs = sorted(((i, wordings(t), y) for i, t, y in documents if t), key=lambda d: d[0])
     seen: Counter = Counter()
     for _, ws, y in docs:
         seen.update({w for words in ws for w in words})
     least = min(COMMON, max(2, len(docs) // 40))
-    chain = Chain({w for w, n in seen.items() if n >= least})
+    chain = Chain({w for w, n in seen.items() if n >= least}, seeds)
     # Seed words that stand about as often in harmless documents are no seeds here (another language's or a technical word).
     n_docs = [max(1, sum(y == k for *_, y in docs)) for k in (0, 1)]
     share: dict[str, list[float]] = {}
@@ -422,6 +447,8 @@ def train_chain(documents: Iterable[tuple[int, str, int]]) -> Chain:
         for w in {h for words in ws for w in words if (h := chain.lexicon.exact(w))}:
             share.setdefault(w, [0.0, 0.0])[y] += 1 / n_docs[y]
     chain.harmless = {w for w, (no, yes) in share.items() if no * n_docs[0] >= 3 and yes < 4 * no}
+    if not all(any(y == k for *_, y in docs) for k in (0, 1)):
+        return chain.by_seeds()
     merged: dict[tuple, list] = {}
     for i, ws, y in docs:
         fold = int(np.uint64(i * 0x9E3779B97F4A7C15 % (1 << 64)) >> np.uint64(40)) % FOLDS
@@ -430,41 +457,82 @@ def train_chain(documents: Iterable[tuple[int, str, int]]) -> Chain:
             m = merged.setdefault(r, [0, 0, fold, False])
             m[y] += 1
     cats = {r: chain.seeds(r) for r in merged}
+    signs = _signs(chain, docs)
+    witness: set[tuple] = set()  # in each document judged abusive, the wordings that speak most for it
+    for _, ws, y in docs:
+        if y:
+            told = {r: _evidence(chain, r, signs) for r in map(chain.read, ws)}
+            witness.update(r for r, e in told.items() if e >= EVIDENCE and e >= 0.7 * max(told.values()))
     rows, kind = [], []
-    for n, (r, m) in enumerate(sorted(merged.items(), key=lambda x: (not cats[x[0]], not any(w in PEOPLE for w in x[0]), hash_of(x[0])))):
+    for n, (r, m) in enumerate(sorted(merged.items(), key=lambda x: (x[0] not in witness, not cats[x[0]], not any(w in PEOPLE for w in x[0]), hash_of(x[0])))):
         if n >= MAX_WORDINGS:
             break
         rows.append((r, 0, m[2]))
-        kind.append((m[0], m[1], bool(cats[r])))
-    if not rows:
-        rows, kind = [(("~",), 0, 0)], [(1, 0, False)]
-    no, yes, seeded = (np.array(x) for x in zip(*kind))
+        kind.append((m[0], m[1], bool(cats[r]), r in witness))
+    no, yes, seeded, seen_to = (np.array(x) for x in zip(*kind))
     strong = np.array([bool(cats.get(r[0])) and any(w in PEOPLE for w in r[0]) for r in rows])
     only_yes = (yes > 0) & (no == 0)
-    has_labels = no.sum() > 0 and yes.sum() > 0
-    prior = seeded & strong
-    label = np.where(no + yes > 0, yes / np.maximum(no + yes, 1), 0) * seeded if has_labels else prior.astype(float)
-    label = (label > 0.5).astype(float)
-    use = ~(only_yes & ~seeded)  # unseeded wordings of abusive documents: not known yet
+    told = seeded | seen_to
+    signed = np.array([_evidence(chain, r[0], signs) > 0 for r in rows])
+    label = ((yes / np.maximum(no + yes, 1) > 0.5) & told).astype(float)
+    if not label.any():
+        return chain.by_seeds()
+    use = ~(only_yes & ~told)  # other wordings of abusive documents: not known yet
+    kinds = np.array([[c in cats.get(r[0], ()) for c in CATEGORIES[:-1]] for r in rows], float)
     for stage in range(3):
-        targets = np.stack([label * np.array([c in cats.get(r[0], ()) for r in rows]) for c in CATEGORIES[:-1]] + [label], 1)
+        targets = np.column_stack([label[:, None] * kinds, label])
         at = np.flatnonzero(use)
         weight = np.sqrt(1.0 + no + yes)[at]
         weight *= np.where(label[at] > 0, max(1.0, BALANCE * weight[label[at] == 0].sum() / max(weight[label[at] > 0].sum(), 1e-9)), 1.0)
         oof = chain.fit([rows[i] for i in at], targets[at], weight)
-        if stage == 2 or not has_labels:
+        score = np.array([chain.logits(r[0]) for r in rows])
+        score[at] = oof
+        if stage == 2:
             break
-        score = np.array([chain.logits(r[0])[-1] for r in rows])
-        score[at] = oof[:, -1]
-        p = _sigmoid(score)
+        p = _sigmoid(score[:, -1])
         wrong_no = (yes == 0) & (no <= 2) & seeded & strong & (p > 0.8)  # judged harmless, yet surely abusive
         wrong_yes = (label > 0) & (p < 0.35) & (yes - 3 * no < 4)  # not so if several documents agree
-        label = np.where(only_yes & ~seeded & (p > 0.5), 1.0, label)
+        label = np.where(only_yes & ~told & (p > 0.5) & signed, 1.0, label)
         label = np.where(wrong_no, 1.0, np.where(wrong_yes, 0.0, label))
         use = ~(only_yes & (label == 0) & (p > 0.1) & (p <= 0.5))
+        kinds = np.where(seeded[:, None], kinds, score[:, :-1] > 0)  # a wording without seed words is of the categories that the chain finds
+    of = {r[0]: z for r, z in zip(rows, score[:, -1])}
+    chain.shift(_threshold([(max((of[r] for r in map(chain.read, ws) if r in of), default=-30.0), y) for _, ws, y in docs]))
     return chain
 
 
+def _threshold(judged: list[tuple[float, int]]) -> float:
+    """The logit that tells judged documents apart best (F1 of out-of-fold scores), or 0 if that is hardly worse."""
+    z, y = np.array([z for z, _ in judged]), np.array([y for _, y in judged])
+
+    def f1(t: float) -> float:
+        return 2 * (y[z >= t].sum()) / max(1, (z >= t).sum() + y.sum())
+
+    best = max([0.0, *np.unique(np.round(z, 1)) + 0.05], key=lambda t: (f1(t), -abs(t)))
+    return float(best) if f1(best) > f1(0.0) + GAIN else 0.0
+
+
+def _signs(chain: Chain, docs: list) -> dict[str, float]:
+    """Log odds of the features that stand in abusive documents too often for chance, given how many features there are; rare words, which may be names, say nothing."""
+    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    for _, ws, y in docs:
+        counts[y].update({f for words in ws for f in chain.names(chain.read(words))})
+    total = [max(1, sum(y == k for *_, y in docs)) for k in (0, 1)]
+    out = {}
+    for f, n in counts[1].items():
+        if not f or "~" in f:
+            continue
+        expected = (n + counts[0][f]) * total[1] / sum(total)
+        if n > expected and n * np.log(n / expected) - (n - expected) > SURE + np.log(len(counts[1])):
+            out[f] = float(np.log((n + 0.5) / (total[1] + 1)) - np.log((counts[0][f] + 0.5) / (total[0] + 1)))
+    return out
+
+
+def _evidence(chain: Chain, read: tuple[str, ...], signs: dict[str, float]) -> float:
+    """The strongest sign of a wording."""
+    return max((signs.get(f, 0.0) for f in chain.names(read)), default=0.0)
+
+
 def hash_of(read: tuple[str, ...]) -> int:
     import xxhash
 

@@ -68,10 +68,22 @@ def test_batches_and_single_wordings_agree():
 
 
 def test_without_usable_labels_seeds_decide():
-    chain = train_chain([])
-    assert chain.score_many([None, "", "  "])[:, -1].max() < 1e-9
-    chain = train_chain([(1, "the kernel loads", 0)])
-    assert chain.score_many(["the kernel loads"])[0, -1] < 0.5
+    for docs in ([], [(1, "the kernel loads", 0)], [(1, "you moron", 1)]):
+        chain = train_chain(docs)
+        assert chain.score_many([None, "", "  ", "the kernel loads", "a moron test", "a naked pointer for you"])[:, -1].max() < 0.5
+        got = chain.score_many(["you are a m0ron", "The tile loads. i will strangle you"])
+        assert (got[:, -1] >= 0.5).all() and got[0, 0] >= 0.5 and got[1, 1] >= 0.5 and got[0, 1] < 0.5
+
+
+def test_labels_alone_teach_wordings():
+    """Without a single seed word, most of the wordings that the labels show often are found."""
+    none = dict.fromkeys(T.SEEDS, "")
+    chain = train_chain(labelled(1, 1500), none)
+    test = labelled(2)
+    got = chain.score_many([t for _, t, _ in test])[:, -1] >= T.THRESHOLD
+    tp = sum(g and y for g, (*_, y) in zip(got, test))
+    assert tp / max(1, got.sum()) > 0.9 and tp / sum(y for *_, y in test) > 0.7
+    assert not (train_chain([(i, "x y z", i % 2) for i in range(20)], none).score_many(["x y z", "you"])[:, -1] >= T.THRESHOLD).any()
 
 
 def test_documents(spark):
