@@ -9,7 +9,7 @@ from quern.functions import code as C
 from quern.functions import text as X
 from quern.functions.canonical import canonical_hash, joined_hash, struct_hash
 from quern.functions.keys import clean_key, first_filled, is_blank
-from quern.operators import chat, derive, gate, lineage_split, merkle, novelty, ranking, sampling, sections, summary, verify
+from quern.operators import chat, contamination, derive, gate, lineage_split, merkle, novelty, ranking, sampling, sections, summary, verify
 from quern.operators.current import current_records
 from quern.operators.hierarchy import resolve_hierarchy
 from quern.plans.stage import Stage
@@ -53,9 +53,10 @@ def duplicate_groups(spark: SparkSession, sf: str) -> DataFrame:
     return novelty.duplicate_groups(text_fingerprint(spark, sf), "fingerprint", "doc_id")
 
 
+_FIELDS = ["coalesce(nullif(task_family, ''), nullif(category, ''))", "target_api", "torch_reference", "dtype", "shape_class", "null::varchar", _ARCH]
 _NOVEL = f"""
 with p as (select row_idx, {_ARCH} a, origin, case when {_BLANK.format('prompt')} then null else {_FP.format('prompt')} end f,
-  sha256(concat_ws('|', coalesce(nullif(task_family, ''), nullif(category, ''), '~'), coalesce(target_api, '~'), coalesce(torch_reference, '~'), coalesce(dtype, '~'), coalesce(shape_class, '~'), {_ARCH})) s from prompts),
+  sha256(concat_ws('|', {', '.join(f"coalesce(length({c}) || ':' || ({c}), '~')" for c in _FIELDS)})) s from prompts),
 k as (select row_idx, origin, 'e' kind, a || ':' || f key from p where f is not null union all select row_idx, origin, 'n', s from p),
 m as (select kind, key, min(case when origin = 'api_doc' then -1 else row_idx end) m from k group by 1, 2),
 v as (select k.row_idx, max(case when m.m < k.row_idx then case when kind = 'e' then 2 else 1 end else 0 end) v from k join m using (kind, key) where origin is distinct from 'api_doc' group by 1),
@@ -66,7 +67,7 @@ verdict as (select row_idx, case v when 2 then 'exact' when 1 then 'near' else '
 @query(_NOVEL + "select row_idx, verdict from verdict")
 def novelty_verdicts(spark: SparkSession, sf: str) -> DataFrame:
     """Delivered prompts against a registry (the records of one builder) and the rows before them."""
-    rows = novelty.prompt_keys(table(spark, sf, "prompts")).select("row_idx", "origin", "exact_key", "near_key")
+    rows = contamination.prompt_keys(table(spark, sf, "prompts")).select("row_idx", "origin", "exact_key", "near_key")
     own = F.coalesce(F.col("origin") != "api_doc", F.lit(True))
     return novelty.novelty(rows.where(own), ["exact_key"], ["near_key"], "row_idx", rows.where(~own))
 
@@ -76,67 +77,7 @@ def novelty_report(spark: SparkSession, sf: str) -> DataFrame:
     return novelty.novelty_report(novelty_verdicts(spark, sf))
 
 
-_CONTAM = f"""
-with e as (select distinct {_FP.format('prompt')} f from eval_items where not {_BLANK.format('prompt')}),
-c as (select distinct {_FP.format('ground_truth_code')} f from eval_items where not {_BLANK.format('ground_truth_code')}),
-t as (select traj_id, ingested_at, passed, tier, prompt, response, case when {_BLANK.format('prompt')} then null else {_FP.format('prompt')} end pf, case when {_BLANK.format('response')} then null else {_FP.format(_CODE.format('response'))} end cf from trajectories),
-x as (select *, coalesce(pf in (select f from e), false) prompt_hit, coalesce(cf in (select f from c), false) code_hit from t)
-"""
-
-
-def _contamination(spark: SparkSession, sf: str) -> DataFrame:
-    """Trajectories with flags: the prompt, or the code of the answer, equals one of an evaluation item."""
-    items = table(spark, sf, "eval_items")
-    prompts = items.where(~is_blank(F.col("prompt"))).select(X.text_fingerprint(F.col("prompt")).alias("f"))
-    codes = items.where(~is_blank(F.col("ground_truth_code"))).select(X.text_fingerprint(F.col("ground_truth_code")).alias("f"))
-    rows = table(spark, sf, "trajectories").select("traj_id", "passed", "tier", "prompt", "response", "ingested_at")
-    rows = rows.withColumn("pf", F.when(~is_blank(F.col("prompt")), X.text_fingerprint(F.col("prompt"))))
-    rows = rows.withColumn("cf", F.when(~is_blank(F.col("response")), X.text_fingerprint(X.code_blocks(F.col("response")))))
-    rows = novelty.matches(rows, "pf", prompts, "f").withColumnRenamed("hit", "prompt_hit")
-    return novelty.matches(rows, "cf", codes, "f").withColumnRenamed("hit", "code_hit")
-
-
-@query(_CONTAM + "select traj_id, prompt_hit, code_hit from x")
-def decontam_flags(spark: SparkSession, sf: str) -> DataFrame:
-    return _contamination(spark, sf).select("traj_id", "prompt_hit", "code_hit")
-
-
-@query(_CONTAM + f"""select traj_id from x where not prompt_hit and not code_hit and not {_BLANK.format('response')}""")
-def decontam_kept(spark: SparkSession, sf: str) -> DataFrame:
-    return _contamination(spark, sf).where(~F.col("prompt_hit") & ~F.col("code_hit") & ~is_blank(F.col("response"))).select("traj_id")
-
-
 _SECRET_SQL = [("api key", "\\bsk-[A-Za-z0-9_\\-]{16,}"), ("home path", "/home/\\w+"), ("key variable", "\\b[A-Z]+_API_KEY\\b")]
-_GATE = _CONTAM + f""", g as (select traj_id, tier, list_filter([
- case when prompt_hit then 'prompt of an evaluation item' end, case when code_hit then 'code of an evaluation item' end,
- case when {_BLANK.format('response')} then 'no answer' end, case when passed is distinct from true then 'not passed' end,
- {', '.join(f"case when regexp_matches(concat_ws(chr(10), prompt, response), '{p}') then '{n}' end" for n, p in _SECRET_SQL)}], lambda i: i is not null) issues from x)
-"""
-
-
-def _gated(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _contamination(spark, sf)
-    text = F.concat_ws("\n", "prompt", "response")
-    own = gate.issues(
-        (F.col("prompt_hit"), "prompt of an evaluation item"),
-        (F.col("code_hit"), "code of an evaluation item"),
-        (is_blank(F.col("response")), "no answer"),
-        (~F.coalesce(F.col("passed"), F.lit(False)), "not passed"),
-    )
-    return rows.select("traj_id", "tier", F.concat(own, gate.secrets(text)).alias("issues"))
-
-
-@query(_GATE + "select traj_id, unnest(issues) as issue from g")
-def gate_issues(spark: SparkSession, sf: str) -> DataFrame:
-    return gate.exploded(_gated(spark, sf), "traj_id", F.col("issues"))
-
-
-@query(_GATE + """select count(*) as rows_total, count(*) filter (len(issues) > 0) as blocked_rows, count(*) filter (tier is null or tier not in ('silver', 'repair')) as gold_rows,
-count(*) filter (tier = 'silver') as silver_rows, count(*) filter (tier = 'repair') as repair_rows, count(*) filter (len(issues) > 0) = 0 as passed from g""")
-def gate_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return gate.gate_counts(_gated(spark, sf), "issues", "tier")
-
-
 _WIDE_SQL = [*_SECRET_SQL, ("assignment", "(?i)(key|token|secret|password)\\s*[=:]"), ("e-mail", "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}")]
 
 
@@ -339,18 +280,15 @@ def evolved_tasks(spark: SparkSession, sf: str) -> DataFrame:
     return derive.evolved_tasks(rows, "task_id", "prompt", OPERATIONS, 2, "e1")
 
 
-_HTML = "text"
-for _t in X._DROPPED:
-    _HTML = f"regexp_replace({_HTML}, '<{_t}.*?>.*?</{_t}>', ' ', 'gis')"
-for _p, _b, _f in (("<!--.*?-->", "' '", "gs"), ("<(br|hr)\\s*/?>", "chr(10)", "gi"), ("</(p|div|li|h\\d|tr|pre)>", "chr(10)", "gi"), ("<[^>]+>", "' '", "g")):
-    _HTML = f"regexp_replace({_HTML}, '{_p}', {_b}, '{_f}')"
-for _n, _c in X.ENTITIES:
-    _HTML = "replace({}, '{}', '{}')".format(_HTML, _n, _c.replace("'", "''"))
-for _p, _b in (("[ \\t]+\\n", "chr(10)"), ("\\n{3,}", "chr(10) || chr(10)"), ("[ \\t]{2,}", "' '")):
-    _HTML = f"regexp_replace({_HTML}, '{_p}', {_b}, 'g')"
+def _html_sql() -> str:
+    entities = "map {" + ", ".join("'{}': '{}'".format(k, v.replace("'", "''")) for k, v in X.ENTITIES.items()) + "}"
+    token = f"case when regexp_matches(t, '{X._LINE_END}') then chr(10) when regexp_matches(t, '(?s)^<.+>$') then ' ' when t like '&%' and length(t) > 2 then coalesce({entities}[t], t) else t end"
+    text = f"array_to_string(list_transform(regexp_extract_all(text, '{X.TOKEN}'), lambda t: {token}), '')"
+    lines = f"array_to_string(list_transform(string_split({text}, chr(10)), lambda l: regexp_replace(regexp_replace(l, '[ \\t]+$', ''), '[ \\t]{{2,}}', ' ', 'g')), chr(10))"
+    return f"select doc_id, sha256(regexp_replace(regexp_replace({lines}, '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g')) as text_hash from documents"
 
 
-@query(f"select doc_id, sha256(regexp_replace({_HTML}, '^\\s+|\\s+$', '', 'g')) as text_hash from documents")
+@query(_html_sql())
 def html_to_text(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.sha2(X.html_to_text(F.col("text")), 256).alias("text_hash"))
 
@@ -525,7 +463,7 @@ def _codes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def code_structures(spark: SparkSession, sf: str) -> DataFrame:
-    return _codes(spark, sf).select("traj_id", C.structure(F.col("code")).alias("structure"), C.syntax_ok(F.col("code")).alias("parses"))
+    return _codes(spark, sf).select("traj_id", C.analysis(F.col("code")).alias("a")).select("traj_id", "a.structure", "a.parses")
 
 
 @query()
