@@ -9,8 +9,9 @@ link of weight 1.  The links are resolved as a weighted disjoint-set forest:
 2. *Merging.*  Forests are merged by joining each unresolved pointer with the
    forest that holds its target and adding the offsets, which doubles the
    length covered; so ceil(log2(longest chain)) merges suffice.  A pointer whose
-   target has no link is resolved; resolved rows are written once and not
-   joined again.
+   target has no link is resolved; resolved rows are written once and only those
+   that an unresolved pointer names are joined again: up to BROADCAST_TARGETS such names
+   are sent to the scans, so that no other row is shuffled.
 3. *Cycles.*  If a merge resolves nothing although rows are left, all rows left
    run into cycles.  Merging goes on until neither the set of targets nor the
    smallest key seen changes; the targets are then exactly periodic nodes.
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 
 from quern.plans.stage import Stage
 
+#: Names of targets that are broadcast (they are short keys), beyond which a shuffled join picks the rows.
+BROADCAST_TARGETS = 200_000
 _SCHEMA = "node string, ptr string, dist long, low string"
 
 
@@ -101,6 +104,9 @@ def resolve_hierarchy(links: DataFrame, with_path: bool = False) -> DataFrame:
         known = active.withColumn("done", F.lit(False))
         for part in resolved:
             known = known.unionByName(part.withColumn("done", F.lit(True)))
+        wanted = active.select(F.col("ptr").alias("node")).distinct()
+        few = wanted.limit(BROADCAST_TARGETS + 1).count() <= BROADCAST_TARGETS
+        known = known.join(F.broadcast(wanted) if few else wanted, "node", "left_semi")
         target = known.select(F.col("node").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("dist").alias("dist2"), F.col("low").alias("low2"), "done", *[F.col(c).alias("seg2") for c in extra])
         step = active.join(target, "ptr", "left").select(
             "node",

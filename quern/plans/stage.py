@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: str | None = None
+_made: list[str] = []  # folders of this process
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -38,6 +39,7 @@ class Stage:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+        _made.append(self.path)
         self._n = 0
         self.last = ""  # path of the table written last
 
@@ -61,3 +63,10 @@ class Stage:
         for p in paths or (self.path,):
             at = jvm.org.apache.hadoop.fs.Path(p)
             at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all intermediate tables that this process has written; results that were not read yet are lost."""
+    while _made:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.keys import is_blank
+from quern.plans.files import list_files
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -30,11 +32,18 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, missi
 
 
 def split_jsonl(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and rejected lines with their file and text."""
+    """Good rows, and rejected lines with their file, number (from 1, blank lines counted) and text.
+
+    Files are split between tasks as they lie; only files that hold a rejected line are read again,
+    each by one task, to number its lines.
+    """
     lines = spark.read.text(path).where(~is_blank(F.col("value"))).select("value", F.input_file_name().alias("file"))
     kinds = lines.withColumn("ok", F.try_parse_json("value").isNotNull())
     good = kinds.where("ok").select(F.from_json("value", schema).alias("r")).select("r.*")
-    return good, kinds.where("not ok").select("file", F.col("value").alias("line"))
+    bad = kinds.where("not ok").select("file").distinct()
+    whole = spark.read.text(path, wholetext=True).select("value", F.input_file_name().alias("file")).join(bad, "file", "left_semi")
+    numbered = whole.select("file", F.posexplode(F.split("value", "\n")).alias("at", "line")).where(~is_blank(F.col("line")) & F.try_parse_json("line").isNull())
+    return good, numbered.select("file", (F.col("at") + 1).alias("number"), "line")
 
 
 def matching(rows: DataFrame, limit: int | None = None, order: str = "row_idx", **allowed: list[str] | None) -> DataFrame:
@@ -68,6 +77,18 @@ def read_yaml(spark: SparkSession, path: str, pattern: str = "*.yaml") -> DataFr
     return files.select("path", "content").mapInPandas(_yaml_rows, "path string, record map<string,string>")
 
 
+def read_problems(spark: SparkSession, path: str, levels: list[str] | None = None, others: tuple[str, ...] = ("bugfix",)) -> DataFrame:
+    """``path, record`` of the YAML files in the level folders (``level1`` .. ``level4``, or those named) and the other ones, in order of their paths."""
+    wanted = "|".join([*(levels or [f"level_?{i}" for i in range(1, 5)]), *others])
+    return read_yaml(spark, path).where(F.col("path").rlike(f"/({wanted})/[^/]*$")).orderBy("path")
+
+
+def latest(spark: SparkSession, folder: str, pattern: str = "") -> str | None:
+    """Path of the last file of a folder by name, of those that match a pattern; null if there is none."""
+    names = [n for n in list_files(spark, folder) if re.search(pattern, n)]
+    return f"{folder}/{names[-1]}" if names else None
+
+
 def read_sources(spark: SparkSession, path: str, pattern: str = "*.py") -> DataFrame:
     """``path, code`` of all files of a tree, each one row; unreadable files are skipped."""
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("ignoreCorruptFiles", "true")

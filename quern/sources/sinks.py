@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quern.operators.verify import unique_or_raise
@@ -37,6 +37,13 @@ def write_unique_jsonl(df: DataFrame, path: str, key: str, order: str | None = N
         fs.delete(p(old), True)
 
 
+def write_jsonl(df: DataFrame, path: str) -> int:
+    """Write rows as JSON lines in place of what was there; returns their number, counted while they are written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    return seen.get["n"]
+
+
 def append_jsonl(df: DataFrame, path: str) -> None:
     """Add rows to a folder of JSON lines."""
     df.write.mode("append").json(path)

@@ -30,22 +30,30 @@ def first_seen(rows: DataFrame, text: str, ts: str, delay: str) -> DataFrame:
     return rows.withColumn("fingerprint", text_fingerprint(F.col(text))).withWatermark(ts, delay).dropDuplicatesWithinWatermark(["fingerprint"])
 
 
-def against_registry(rows: DataFrame, registry: str, key: str, out: str, checkpoint: str):
-    """Stream query: each batch is written without rows whose key the registry folder holds; new keys are then added to it.
+def against_registry(rows: DataFrame, registry: str, key: str, out: str, checkpoint: str, order: str | None = None, buckets: int = 64):
+    """Stream query: each batch is written without rows whose key the registry holds; new keys are then added to it.
 
-    The batch is keyed by its id, so a batch that is run again after a failure
-    replaces what it had written.
+    The registry is a folder partitioned by the bucket of the key's hash and the batch: only the buckets
+    that a batch touches are read.  Of several rows of a key in a batch the first by ``order``, then by the
+    hash of all columns, stays.  The batch is keyed by its id, so a batch that is run again
+    after a failure replaces what it had written.  Rows without a key are kept.
     """
     spark = rows.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         from quern.sources.files import exists
 
-        batch = batch.dropDuplicates([key])
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        rank = F.struct(*([F.col(order)] if order else []), F.xxhash64(*batch.columns).alias("_h"))
+        named = batch.where(F.col(key).isNotNull())
+        first = named.groupBy(key).agg(F.min_by(F.struct(*batch.columns), rank).alias("_r")).select("_r.*").withColumn("bucket", bucket)
         if exists(spark, registry):
-            known = spark.read.parquet(registry).where(F.col("batch") < batch_id).select(key)
-            batch = batch.join(known, key, "left_anti")
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        spark.read.parquet(f"{out}/batch={batch_id}").select(key).write.mode("overwrite").parquet(f"{registry}/batch={batch_id}")
+            used = [r[0] for r in named.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets`` numbers
+            known = spark.read.parquet(registry).where(F.col("bucket").isin(used) & (F.col("batch") < batch_id)).select("bucket", key)
+            first = first.join(known, ["bucket", key], "left_anti")
+        new = first.drop("bucket").select(*batch.columns).unionByName(batch.where(F.col(key).isNull()))
+        new.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        added = spark.read.parquet(f"{out}/batch={batch_id}").where(F.col(key).isNotNull()).select(key, bucket.alias("bucket"), F.lit(batch_id).alias("batch"))
+        added.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(registry)
 
     return rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

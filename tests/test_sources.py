@@ -18,7 +18,7 @@ def test_jsonl_blank_missing_and_malformed(spark, tmp_path):
     with pytest.raises(Exception):
         files.read_jsonl(spark, f"file://{p}", "a long").collect()
     good, bad = files.split_jsonl(spark, f"file://{p}", "a long")
-    assert [r.a for r in good.collect()] == [1] and [r.line for r in bad.collect()] == ['{"a": ']
+    assert [r.a for r in good.collect()] == [1] and [(r.number, r.line) for r in bad.collect()] == [(2, '{"a": ')]
 
 
 def test_yaml_and_source_trees(spark, tmp_path):
@@ -32,6 +32,21 @@ def test_yaml_and_source_trees(spark, tmp_path):
     assert files.file_hashes(spark, f"file://{tmp_path}", "*.py").count() == 1
 
 
+def test_problem_folders_and_latest(spark, tmp_path):
+    pytest.importorskip("yaml")
+    for folder, name in (("level2", "b"), ("level1", "z"), ("bugfix", "a"), ("other", "q")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / f"{name}.yaml").write_text(f"- id: {name}\n  n: 3\n- just text\n")
+    got = files.read_problems(spark, f"file://{tmp_path}").collect()
+    assert [r.record["id"] for r in got] == ["a", "z", "b"] and got[0].record["n"] == "3"
+    assert [r.record["id"] for r in files.read_problems(spark, f"file://{tmp_path}", ["level1"], ()).collect()] == ["z"]
+    assert files.latest(spark, f"file://{tmp_path}", "^level").endswith("/level2") and files.latest(spark, f"file://{tmp_path}/none") is None
+
+
+def test_write_counts(spark, tmp_path):
+    assert sinks.write_jsonl(spark.range(7), f"file://{tmp_path}/o") == 7 and sinks.write_jsonl(spark.range(0), f"file://{tmp_path}/o") == 0
+
+
 def test_matching(spark):
     df = spark.createDataFrame([(2, "a"), (1, "b"), (3, "a")], "row_idx long, source string")
     assert [r.row_idx for r in files.matching(df, 1, source=[" a "]).collect()] == [2]
