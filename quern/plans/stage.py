@@ -42,12 +42,19 @@ class Stage:
         _made.append(self.path)
         self._n = 0
         self.last = ""  # path of the table written last
+        self.paths: list[str] = []
 
     def next_path(self) -> str:
         self._n += 1
         self.last = f"{self.path}/{self._n:04d}"
+        self.paths.append(self.last)
         return self.last
 
+    def drop_all_but(self, *kept: str) -> None:
+        """Delete the tables that are not needed any more."""
+        self.drop(*[p for p in self.paths if p not in kept] or [f"{self.path}/none"])
+        self.paths = list(kept)
+
     def write(self, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         """Write ``df`` and return the written table."""
         path = self.next_path()
