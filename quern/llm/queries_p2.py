@@ -34,15 +34,30 @@ def p2_assigned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_shares(spark: SparkSession, sf: str) -> DataFrame:
-    """Target and actual share of every split."""
+    """Target and actual share of every split, and the records of its largest group."""
     given = Stage(spark, "given").write(p2_assigned(spark, sf))
     total = given.count()
-    counts = given.groupBy("split_name").agg(F.count("*").alias("n_records"), F.count_distinct("group_task_id").alias("n_groups"))
-    out = table(spark, sf, "split_targets").join(counts, "split_name", "left").na.fill(0, ["n_records", "n_groups"])
-    return out.select("split_name", "target_share", "n_records", "n_groups", (F.col("n_records") / F.lit(max(total, 1))).alias("actual_share"))
+    groups = given.groupBy("split_name", "group_task_id").agg(F.count("*").alias("n"))
+    counts = groups.groupBy("split_name").agg(F.sum("n").alias("n_records"), F.count("*").alias("n_groups"), F.max("n").alias("largest_group"))
+    out = table(spark, sf, "split_targets").join(counts, "split_name", "left").na.fill(0, ["n_records", "n_groups", "largest_group"])
+    return out.select("split_name", "target_share", "n_records", "n_groups", "largest_group", (F.col("n_records") / F.lit(max(total, 1))).alias("actual_share"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p2_assigned": p2_assigned, "p2_shares": p2_shares}
+def p2_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Records and groups of the assignment, and what would break the rules: groups in several splits, records without one, a split off its share by more than its largest group."""
+    given = Stage(spark, "given").write(p2_assigned(spark, sf))
+    names = table(spark, sf, "split_targets").select("split_name")
+    groups = given.groupBy("group_task_id").agg(F.count("*").alias("n"), F.count_distinct("split_name").alias("s"), F.min("split_name").alias("split_name"))
+    targets = table(spark, sf, "split_targets").groupBy("split_name").agg(F.sum("target_share").alias("w"))
+    filled = targets.join(groups.groupBy("split_name").agg(F.sum("n").alias("n"), F.max("n").alias("most")), "split_name", "left").na.fill(0, ["n", "most"])
+    off = filled.crossJoin(given.agg(F.count("*").alias("total"))).crossJoin(targets.agg(F.sum("w").alias("whole")))  # one row each
+    off = off.agg(F.count_if(F.abs(F.col("n") - F.col("total") * F.col("w") / F.col("whole")) > F.greatest("most", F.lit(0.02) * F.col("total"))).alias("shares_off"))
+    lost = given.join(names, "split_name", "left_anti").agg(F.count("*").alias("without_split"))
+    out = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_records"), F.count("*").alias("n_groups"), F.count_if(F.col("s") > 1).alias("groups_divided"))
+    return out.crossJoin(off).crossJoin(lost)  # one row each
+
+
+QUERIES = {"p2_checked": p2_checked, "p2_found": p2_found, "p2_groups": p2_groups, "p2_assigned": p2_assigned, "p2_shares": p2_shares}
 
 _K = "nullif(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '')"
 _GROUPS = f"""
@@ -54,6 +69,7 @@ reach as (select a x, b y from adj union select r.x, d.b from reach r join adj d
 g as (select substr(x, 2) task_id, min(substr(y, 2)) group_task_id from reach join rec q on y = '1' || q.t where x in (select '1' || t from rec) group by 1)
 """
 ORACLES = {
+    "p2_checked": _GROUPS + "select count(*) as n_records, count(distinct group_task_id) as n_groups, 0::bigint as groups_divided, 0::bigint as shares_off, 0::bigint as without_split from g",
     "p2_groups": _GROUPS + "select task_id, group_task_id from g",
     "p2_found": _GROUPS
     + "select g.task_id, g.group_task_id from g where group_task_id in (select group_task_id from g join rec on rec.t = g.task_id group by 1 having count(distinct sp) > 1)",

@@ -2,7 +2,9 @@
 
 *Components* by Hash-to-Min: every node keeps a cluster of nodes (at first its
 neighbours and itself); in each round it sends its whole cluster to the smallest
-member and that member to everyone in the cluster, until nothing changes.  The
+member and that member to everyone in the cluster, until its component is settled (the
+smallest node's cluster is the component, every other one's is that node), which a
+count per smallest node tells; settled components take no part in later rounds.  The
 clusters are rows ``(node, member)``, never arrays, so no cluster has to fit a
 task: the minimum of a cluster is a combined aggregation, and the exchange is a
 join whose hot keys adaptive execution splits.  Hubs (shared sources) are made to
@@ -10,12 +12,13 @@ sort first, so a star settles in two rounds.
 
 *Assignment* by weighted rendezvous hashing: a component gets a score
 ``-ln(u) / weight`` per split, u a hash of component and split, and takes the
-split of the lowest score; so a new component moves no other, and a split gets
-components in proportion to its weight.  Components that hold more than
+split of the lowest score, so a split gets components in proportion to its weight, and
+as long as the weights stay a new component moves no other.  Components that hold more than
 ``1 / MAX_LARGE`` of all records (at most MAX_LARGE of them, by arithmetic) would
 ruin the proportions if left to chance: they are placed first, largest first, by
 rendezvous among the splits that still have room for them (else the roomiest),
-and the weights of all others are what remains to be filled.
+and the weights of all others are what remains to be filled; these weights change with
+the records, and a component whose scores are close may then change its split.
 
 Defined cases: null keys tie nothing; a record without ties is a component of its
 own; shares are normalised by their sum; targets that are null or not positive get
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,18 +49,27 @@ def hash_to_min(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(edges.select(F.col("b").alias("v"), F.col("a").alias("u")))
     loops = both.select("v", F.col("v").alias("u"))
     clusters = stage.write(both.unionByName(loops).distinct())
-    previous = None
+    kept: list[str] = []
+    parts: list[DataFrame] = []
     while True:
-        low = clusters.groupBy("v").agg(F.min("u").alias("m"))
-        sent = clusters.join(low, "v").select("u", "m")
+        low = clusters.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("c"))
+        nodes = F.count("*")
+        # Settled: the minimum's cluster is all nodes of this minimum, and every other one's is the minimum.
+        settled = (F.sum("c") == 2 * nodes - 1) & (F.max(F.when(F.col("v") == F.col("m"), F.col("c"))) == nodes)
+        low = stage.write(low)
+        at = stage.last
+        state = stage.write(low.join(low.groupBy("m").agg(F.coalesce(settled, F.lit(False)).alias("settled")), "m").select("v", "m", "settled"))
+        kept.append(stage.last)
+        parts.append(state.where("settled").select(F.col("v").alias("node"), F.col("m").alias("component")))
+        stage.drop(at)
+        open_ = state.where("not settled").select("v", "m")
+        if open_.isEmpty():
+            stage.drop_all_but(*kept)
+            return reduce(DataFrame.unionByName, parts)
+        sent = clusters.join(open_, "v").select("u", "m")
         out = sent.select(F.col("m").alias("v"), "u").unionByName(sent.select(F.col("u").alias("v"), F.col("m").alias("u")))
-        old = stage.last
         clusters = stage.write(out.distinct())
-        stage.drop(old)
-        state = clusters.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")), F.lit(0))).first()
-        if state == previous:
-            return clusters.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("component"))
-        previous = state
+        stage.drop_all_but(*kept, stage.last)
 
 
 def record_groups(records: DataFrame, key: str, parent: str, source: str) -> DataFrame:
