@@ -124,18 +124,24 @@ def cross_overlaps(records: DataFrame, min_likeness: float = MIN_LIKENESS) -> tu
     records = records.where("doc is not null and text is not null and mask in (1, 2)").select("doc", "text", "mask")
     grams = gram_order(records, 3)
     cut = stage.write(records.mapInArrow(_cut(min_likeness, grams), schema).where("words > 2"))
+    all_records = stage.last
     grams.unpersist()
     ids = cut.groupBy("t1", "t2").agg(F.min("doc").alias("rep"), F.bit_or("mask").alias("mask"))
     members = stage.write(cut.select("t1", "t2", "doc", F.col("mask").alias("own")).join(ids, ["t1", "t2"]).select("rep", "doc", "own", "mask"))
     reps = stage.write(cut.drop("mask").join(members.where("doc = rep").select("doc", "mask"), "doc").select("doc", "mask", "words", "runs", F.arrays_zip("digests", "sizes").alias("c"), F.arrays_zip("prefix", "places").alias("p")))
+    stage.drop(all_records)
+    representatives = stage.last
     rows = reps.select("doc", "mask", F.explode("c").alias("c")).select(F.col("c.digests").alias("key"), "doc", "mask", F.col("c.sizes").alias("weight"))
     words = reps.select("doc", "words")
     pairs = bucket_pairs(rows).join(words.toDF("a", "words_a"), "a").join(words.toDF("b", "words_b"), "b")
     pairs = pairs.where(F.col("weight") >= MIN_OVERLAP * LAYERS * F.least("words_a", "words_b")).select("a", "b")
-    keys = stage.write(reps.select("doc", "mask", "runs", F.explode("p").alias("p")).select(F.col("p.prefix").alias("key"), "doc", "mask", F.col("p.places").alias("place"), "runs"))
+    keys = reps.select("doc", "mask", "runs", F.explode("p").alias("p")).select(F.col("p.prefix").alias("key"), "doc", "mask", F.col("p.places").alias("place"), "runs")
     pairs = stage.write(pairs.unionByName(prefix_pairs(keys, min_likeness)).distinct())
-    sure = verify_pairs(pairs, records.select("doc", "text"), overlap_fraction, "overlap", 3, min_likeness)
-    return stage.write(sure), members.select("rep", "doc", F.col("own").alias("mask"))
+    stage.drop(representatives)
+    candidates = stage.last
+    sure = stage.write(verify_pairs(pairs, records.select("doc", "text"), overlap_fraction, "overlap", 3, min_likeness))
+    stage.drop(candidates)
+    return sure, members.select("rep", "doc", F.col("own").alias("mask"))
 
 
 def _chunks_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

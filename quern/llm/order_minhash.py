@@ -119,19 +119,21 @@ def _sketch(k: int, picks: int, sketches: int, min_likeness: float, grams: Broad
 
 
 def _sketched(docs: DataFrame, stage: Stage, min_likeness: float, k: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Texts that are cases (``doc, text``), members ``rep, doc``, and of the representatives the sketches ``key, doc`` and prefix keys."""
+    """Texts that are cases (``doc, text``), members ``rep, doc`` (written), and of the representatives the sketches ``key, doc`` and prefix keys (in one written table)."""
     docs = docs.where(~is_blank(F.col("text")) & F.col("doc").isNotNull()).select("doc", "text")
     schema = "doc long, t1 long, t2 long, keys array<long>, prefix array<long>, places array<int>, runs int"
     grams = gram_order(docs, k)
     sketched = stage.write(docs.mapInArrow(_sketch(k, PICKS, SKETCHES, min_likeness, grams), schema).where("runs > 0"))
     grams.unpersist()
-    ids = stage.write(sketched.groupBy("t1", "t2").agg(F.min("doc").alias("rep")))
-    members = sketched.select("t1", "t2", "doc").distinct().join(ids, ["t1", "t2"]).select("rep", "doc")
-    reps = sketched.join(ids.select(F.col("rep").alias("doc")), "doc", "left_semi").dropDuplicates(["doc"])
+    ids = sketched.groupBy("t1", "t2").agg(F.min("doc").alias("rep"))
+    members = stage.write(sketched.select("t1", "t2", "doc").distinct().join(ids, ["t1", "t2"]).select("rep", "doc"))
+    own = members.where("rep = doc").select("doc")
+    reps = stage.write(sketched.join(own, "doc", "left_semi").dropDuplicates(["doc"]).select("doc", "keys", "prefix", "places", "runs"))
+    stage.drop_all_but(*stage.paths[-2:])  # members and representatives
     sketches = reps.select("doc", F.explode("keys").alias("key"))
     prefix = reps.select("doc", "runs", F.explode(F.arrays_zip("prefix", "places")).alias("p"))
     prefix = prefix.select(F.col("p.prefix").alias("key"), "doc", F.lit(3).cast("byte").alias("mask"), F.col("p.places").alias("place"), "runs")
-    return docs, members, sketches, stage.write(prefix)
+    return docs, members, sketches, prefix
 
 
 def near_duplicates(docs: DataFrame, min_likeness: float = MIN_LIKENESS, min_edit: float = MIN_EDIT, k: int = K) -> tuple[DataFrame, DataFrame]:
@@ -147,7 +149,10 @@ def near_duplicates(docs: DataFrame, min_likeness: float = MIN_LIKENESS, min_edi
     rows = sketches.select("key", "doc", F.lit(3).cast("byte").alias("mask"), F.lit(1).alias("weight"))
     pairs = bucket_pairs(rows).where(F.col("shared") >= MIN_SHARED).select("a", "b")
     pairs = stage.write(pairs.unionByName(prefix_pairs(prefix, min_likeness)).distinct())
-    return stage.write(verify_pairs(pairs, docs, edit_similarity, "edit_similarity", 3, min_likeness, min_edit)), members
+    stage.drop_all_but(stage.paths[0], stage.last)
+    found = stage.write(verify_pairs(pairs, docs, edit_similarity, "edit_similarity", 3, min_likeness, min_edit))
+    stage.drop_all_but(stage.paths[0], stage.last)
+    return found, members
 
 
 def similar_classes(docs: DataFrame, min_likeness: float = MIN_LIKENESS, k: int = K) -> DataFrame:
@@ -167,6 +172,7 @@ def similar_classes(docs: DataFrame, min_likeness: float = MIN_LIKENESS, k: int
     rest = stage.write(known.join(several, "key", "left_semi"))
     more = _links(stage.write(prefix_pairs(rest, min_likeness, "part")), docs, min_likeness)
     component = _components(links.unionByName(more))
+    stage.drop_all_but(stage.paths[0])  # members
     copies = members.groupBy("rep").agg((F.count("*") - 1).alias("copies"))
     reps = copies.join(component, "rep", "left").select("rep", F.coalesce("class_id", "rep").alias("class_id"), "copies")
     return members.join(reps, "rep").select("doc", "class_id", "copies")
