@@ -9,9 +9,9 @@ from quern.functions import code as C
 from quern.functions import text as X
 from quern.functions.canonical import canonical_hash, joined_hash, struct_hash
 from quern.functions.keys import clean_key, first_filled, is_blank
-from quern.operators import chat, contamination, derive, gate, lineage_split, merkle, novelty, ranking, sampling, sections, summary, verify
+from quern.operators import chat, contamination, derive, gate, merkle, novelty, ranking, sampling, sections, summary, verify
 from quern.operators.current import current_records
-from quern.operators.hierarchy import resolve_hierarchy
+from quern.plans.build import lineage_splits, ordered_splits
 from quern.plans.stage import Stage
 from quern.sources.files import matching
 from quern.sources.tables import table
@@ -87,15 +87,15 @@ def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _REQUIRED = ("task_id", "prompt", "source", "origin", "split", "category")
-_SPLITS, _FORBIDDEN = ("train", "dev"), ("held_out_bench", "private_eval")
+_SPLITS = ("train", "dev")
 
 
 @query(
     " union all ".join(f"select row_idx, '{c} is blank' as issue from prompts where {_BLANK.format(c)}" for c in _REQUIRED)
-    + f" union all select row_idx, 'split' from prompts where coalesce({_K.format('split')} not in ('train', 'dev'), true) union all select row_idx, 'origin' from prompts where coalesce(nullif(origin, ''), source) in ('held_out_bench', 'private_eval')"
+    + f" union all select row_idx, 'split' from prompts where coalesce({_K.format('split')} not in ('train', 'dev'), true) union all select row_idx, 'origin' from prompts where coalesce(nullif(origin, ''), source) in ('tritonbench', 'kernelbench_eval', 'private_eval', 'yaml')"
 )
 def schema_violations(spark: SparkSession, sf: str) -> DataFrame:
-    found = gate.schema_issues(list(_REQUIRED), clean_key("split"), _SPLITS, first_filled(F.col("origin"), F.col("source")), _FORBIDDEN)
+    found = gate.schema_issues(list(_REQUIRED), clean_key("split"), _SPLITS, first_filled(F.col("origin"), F.col("source")), contamination.FORBIDDEN_ORIGINS)
     return gate.exploded(table(spark, sf, "prompts"), "row_idx", found)
 
 
@@ -133,31 +133,18 @@ def catalogue_hash(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.catalogue_hash(table(spark, sf, "prompts"), "task_id", "prompt")
 
 
-def _lineage(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _current(spark, sf, "parent_id", "torch_reference", "target_api", "split")
-    return rows.select(
-        "task_id",
-        clean_key("parent_id").alias("parent"),
-        lineage_split.identity(F.lit(None).cast("string"), ("reference", F.sha2(F.nullif(F.col("torch_reference"), F.lit("")), 256)), ("api", F.col("target_api")), ("task", F.col("task_id"))).alias("identity"),
-        F.when(clean_key("split").isin("eval", "held_out"), clean_key("split")).alias("reserved"),
-    )
-
-
 def _assigned(spark: SparkSession, sf: str) -> DataFrame:
-    rows = Stage(spark, "records").write(_lineage(spark, sf))
-    # Ancestry is resolved to roots first, so chains of any depth are one step for the components.
-    roots = resolve_hierarchy(rows.select(F.col("task_id").alias("node"), "parent")).select(F.col("node").alias("task_id"), F.concat(F.lit("root:"), "root").alias("root"))
-    keys = F.array_compact(F.array("root", "identity"))
-    links = rows.join(roots, "task_id").select(F.col("task_id").alias("row"), F.explode(keys).alias("key"))
-    parts = lineage_split.components(links).withColumnRenamed("row", "task_id")
-    return lineage_split.assign_by_lineage(rows.join(parts, "task_id"), "task_id", "component", "reserved")
+    rows = _current(spark, sf, "parent_id", "torch_reference", "target_api", "task_family", "split")
+    rows = Stage(spark, "records").write(rows.withColumns({"parent_id": clean_key("parent_id"), "split": clean_key("split")}))
+    return lineage_splits(rows)
 
 
 _LINEAGE = f"""
 with recursive {_CUR},
-r as (select t, {_K.format('parent_id')} p, coalesce('reference:' || sha256(nullif(torch_reference, '')), 'api:' || nullif(target_api, ''), 'task:' || t) i, case when {_K.format('split')} in ('eval', 'held_out') then {_K.format('split')} end res from cur),
-e as (select a.t x, b.t y from r a join r b on a.p = b.t union select a.t, min(b.t) from r a join r b on a.i = b.i group by a.t),
-adj as (select x, y from e union select y, x from e union select t, t from r),
+r as (select t, {_K.format('parent_id')} p, coalesce('family:' || nullif(task_family, ''), 'torch_reference:' || sha256(nullif(torch_reference, '')), 'ancestry:' || {_K.format('parent_id')}, 'api:' || nullif(target_api, ''), 'task:' || t) i, case when {_K.format('split')} in ('eval', 'held_out') then {_K.format('split')} end res from cur),
+e as (select t x, 'k' || i y from r union select t, 't' || t from r union select t, 't' || p from r where p is not null),
+n as (select distinct a.x x, min(b.x) over (partition by a.y) y from e a join e b using (y)),
+adj as (select x, y from n union select y, x from n),
 reach as (select x, y from adj union select q.x, d.y from reach q join adj d on d.x = q.y),
 comp as (select x t, min(y) c from reach group by 1),
 g as (select c, min(res) lo, max(res) hi from comp join r using (t) group by 1),
@@ -167,10 +154,16 @@ s as (select t, 'component:' || sha256(c) split_group, coalesce(lo, case when ('
 
 @query(_LINEAGE + "select t as task_id, split_group, split, conflict from s")
 def split_assignment(spark: SparkSession, sf: str) -> DataFrame:
-    """Prompt records by ancestry and shared reference; evaluation members keep their component."""
+    """Prompt records by parent and the strongest identity of each; groups with a reserved split keep it."""
     return _assigned(spark, sf)
 
 
+@query(_LINEAGE + "select t as task_id, split_group, split, conflict, min(t) over (partition by split_group) as first_task_id from s")
+def ordered_split_assignment(spark: SparkSession, sf: str) -> DataFrame:
+    """The assignment in the order in which it is written: groups by their smallest id."""
+    return ordered_splits(_assigned(spark, sf))
+
+
 @query(_LINEAGE + "select split, count(*) as n from s group by 1")
 def split_counts(spark: SparkSession, sf: str) -> DataFrame:
     return summary.counts(_assigned(spark, sf), F.col("split"))
@@ -252,14 +245,15 @@ TEMPLATES = {
 _TEMPLATE = "case c " + " ".join(f"when '{k}' then '{v}'" for k, v in TEMPLATES.items()) + f" else '{TEMPLATES['compile']}' end"
 
 
-@query(f"""with {_CUR}, t as (select traj_id, {_K.format('task_id')} k, {_CLASS} c from trajectories), f as (select distinct k, c, coalesce(nullif(cur.task_family, ''), 'kernel') op from t join cur on cur.t = k where c <> 'pass'),
+@query(f"""with {_CUR}, t as (select traj_id, {_K.format('task_id')} k, {_CLASS} c from trajectories), f as (select distinct k, c, coalesce(nullif(cur.task_family, ''), 'kernel') op from t join cur on cur.t = k where c <> 'pass' and coalesce(coalesce(nullif(origin, ''), source) not in ('tritonbench', 'kernelbench_eval', 'private_eval', 'yaml'), true) and coalesce({_K.format('split')} not in ('test', 'eval'), true)),
 v as (select *, unnest([0, 1]) v from f)
 select concat_ws('_', 'mined', k, c, v) as task_id, k as parent, replace({_TEMPLATE}, '{{op}}', op) || case v when 0 then '' else ' Shape variant ' || (v + 1) || '.' end as prompt from v""")
 def mined_tasks(spark: SparkSession, sf: str) -> DataFrame:
-    """Two new tasks for every failing class of a prompt record."""
+    """Two new tasks for every failing class of a prompt record that may be trained on."""
     klass = derive.failure_class(F.col("passed"), F.col("fail_reason"), X.tail(F.col("response"), 200))
     failures = table(spark, sf, "trajectories").select(clean_key("task_id").alias("task_id"), klass.alias("klass")).where("klass <> 'pass'").distinct()
-    failures = failures.join(_current(spark, sf, "task_family").drop("row_idx"), "task_id")
+    parents = _current(spark, sf, "task_family", "origin", "source", "split").where(contamination.trainable(first_filled(F.col("origin"), F.col("source")), clean_key("split")))
+    failures = failures.join(parents.select("task_id", "task_family"), "task_id")
     return derive.mined_tasks(failures, "task_id", "klass", F.col("task_family"), TEMPLATES)
 
 
@@ -359,15 +353,15 @@ def sft_messages(spark: SparkSession, sf: str) -> DataFrame:
     return chat.chat_rows(rows, "traj_id", chat.messages(F.col("prompt"), F.col("response"), F.col("system")))
 
 
-_SIDE = "provider, model, gateway, response_sha256"
+_SIDE = "prompt, response, provider, model, semantic_hash, gateway, response_sha256"
 
 
-@query(f"""with l as (select distinct {_SIDE} from trajectories where passed), r as (select distinct {_SIDE} from trajectories where tier in ('gold', 'silver', 'repair'))
+@query(f"""with l as (select distinct {_SIDE} from trajectories where passed), r as (select distinct {_SIDE} from trajectories where tier in ('gold', 'silver'))
 select *, 'left' as side from (from l except from r) union all select *, 'right' from (from r except from l)""")
 def consistency(spark: SparkSession, sf: str) -> DataFrame:
-    """Passing against graded trajectories, both ways, nulls equal."""
+    """Passing trajectories against those of the two upper tiers, both ways, nulls equal: the repairs come out."""
     rows = table(spark, sf, "trajectories")
-    return verify.both_ways(rows.where("passed"), rows.where("tier in ('gold', 'silver', 'repair')"), _SIDE.split(", "))
+    return verify.both_ways(rows.where("passed"), rows.where("tier in ('gold', 'silver')"), _SIDE.split(", "))
 
 
 @query("select traj_id, response_sha256 as committed, sha256(response) as recomputed from trajectories where response_sha256 is null or response is null or response_sha256 <> sha256(response)")
@@ -403,10 +397,15 @@ def backfilled(spark: SparkSession, sf: str) -> DataFrame:
     return derive.filled_from(rows, accepted, "task_id", ["gpu_architecture"], "fp_id")
 
 
-@query("select row_idx, task_id, 'prompts' as part, 0 as part_order from prompts union all select item_id, task_id, 'eval_items', 1 from eval_items")
+_BUILDERS = {"doc": ("api_doc", "doc_tutorial", "doc_semantics"), "mutation": ("mutation",), "torch_op": ("torch_op",), "mined": ("mined",), "evolved": ("self_evolution",)}
+
+
+@query(" union all ".join(f"select row_idx, task_id, '{p}' as part, {i} as part_order from prompts where origin in ({', '.join(map(repr, o))})" for i, (p, o) in enumerate(_BUILDERS.items())) + " union all select item_id, task_id, 'eval', 5 from eval_items")
 def catalogue(spark: SparkSession, sf: str) -> DataFrame:
-    prompts = table(spark, sf, "prompts").select("row_idx", "task_id")
-    return derive.catalogue(("prompts", prompts), ("eval_items", table(spark, sf, "eval_items").select(F.col("item_id").alias("row_idx"), "task_id")))
+    """Prompts of the five builders in their order, and the evaluation items after them."""
+    prompts = table(spark, sf, "prompts")
+    parts = [(p, prompts.where(F.col("origin").isin(*o)).select("row_idx", "task_id")) for p, o in _BUILDERS.items()]
+    return derive.catalogue(*parts, ("eval", table(spark, sf, "eval_items").select(F.col("item_id").alias("row_idx"), "task_id")))
 
 
 @query("select item_id, p as provider from eval_items, (values ('orchid'), ('basalt'), ('saffron')) v(p)")
@@ -415,12 +414,19 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
     return derive.with_values(table(spark, sf, "eval_items").select("item_id"), "provider", ["orchid", "basalt", "saffron"])
 
 
-@query(f"select {_K.format('task_id')} as task_id from prompts where {_K.format('task_id')} is not null intersect select {_K.format('task_id')} from accepted_fingerprints")
-def accepted_prompts(spark: SparkSession, sf: str) -> DataFrame:
-    own = table(spark, sf, "prompts").select(clean_key("task_id").alias("task_id")).where("task_id is not null")
+@query(f"select {_K.format('task_id')} as task_id from accepted_task_ids where {_K.format('task_id')} is not null intersect select {_K.format('task_id')} from accepted_fingerprints")
+def accepted_and_listed(spark: SparkSession, sf: str) -> DataFrame:
+    own = table(spark, sf, "accepted_task_ids").select(clean_key("task_id").alias("task_id")).where("task_id is not null")
     return own.intersect(table(spark, sf, "accepted_fingerprints").select(clean_key("task_id").alias("task_id")))
 
 
+@query(f"select {_K.format('task_id')} as task_id from prompts where {_K.format('task_id')} is not null union select {_K.format('task_id')} from accepted_fingerprints where {_K.format('task_id')} is not null")
+def known_tasks(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of all records and of all accepted rows, once each."""
+    ids = [table(spark, sf, t).select(clean_key("task_id").alias("task_id")) for t in ("prompts", "accepted_fingerprints")]
+    return ids[0].unionByName(ids[1]).where("task_id is not null").distinct()
+
+
 @query(f"select {_K.format('task_id')} as task_id from accepted_task_ids where {_K.format('task_id')} is not null except select {_K.format('task_id')} from accepted_fingerprints")
 def listed_only(spark: SparkSession, sf: str) -> DataFrame:
     own = table(spark, sf, "accepted_task_ids").select(clean_key("task_id").alias("task_id")).where("task_id is not null")
@@ -438,13 +444,19 @@ def merkle_level(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.level(_leaves(spark, sf))
 
 
-@query()
+@query("""with recursive l as (select row_number() over (order by doc_id) - 1 pos, sha256(coalesce(text, '')) h from documents),
+t as (select 0 lv, list(h order by pos) hs from l union all
+      select lv + 1, list_transform(range(1, len(hs) + 1, 2), lambda i: sha256(unhex(hs[i] || coalesce(hs[i + 1], hs[i])))) from t where len(hs) > 1)
+select hs[1] as root, (select count(*) from l) as n_leaves from t where len(hs) = 1""")
 def merkle_root(spark: SparkSession, sf: str) -> DataFrame:
     leaves = _leaves(spark, sf)
     return spark.createDataFrame([(merkle.merkle_root(leaves), leaves.count())], "root string, n_leaves long")
 
 
-@query()
+_LEAF = "sha256('{' || " + " || ',' || ".join(f"'\"{c}\":' || coalesce(to_json({c})::varchar, 'null')" for c in sorted(("prompt", "response", "provider", "model", "system", "gateway", "response_sha256"))) + " || '}')"
+
+
+@query(f"select traj_id, {_LEAF} as leaf, {_LEAF} as canonical_leaf from trajectories")
 def leaf_hashes(spark: SparkSession, sf: str) -> DataFrame:
     """Content hash of every trajectory over its fields, and over their canonical JSON."""
     columns = ["prompt", "response", "provider", "model", "system", "gateway", "response_sha256"]

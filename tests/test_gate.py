@@ -254,3 +254,41 @@ def test_chosen_mutation(spark):
         assert got[str(i)].mutation == names[int(hashlib.sha256(str(i).encode()).hexdigest()[:12], 16) % 3]
     only = KERNEL  # masks only: whatever the hash asks for, that one
     assert C.mutate(only)[0]["mutation"] == "boundary_mask" and len(C.mutate(only)) == 1 and "mask" not in C.mutate(only)[0]["code"]
+
+
+def test_build_of_a_prompt_file(spark, tmp_path):
+    from quern.plans.build import build_prompts, lineage_splits, ordered_splits, run_seed
+
+    cols = "task_id string, prompt string, origin string, task_family string, category string, parent_id string, split string"
+    doc = spark.createDataFrame([(f"d{i}", f"p{i}", "api_doc", f"f{i % 7}", "c", None, None) for i in range(40)], cols)
+    mined = spark.createDataFrame([(f"m{i}", f"q{i}", "mined", None, "c", f"d{i}", "held_out" if i == 0 else None) for i in range(20)], cols)
+    seed = run_seed()
+    assert len(seed) == 64 and seed != run_seed()
+    facts = build_prompts({"mined": mined, "doc": doc}, f"file://{tmp_path}/a", seed, limit=30)
+    again = build_prompts({"doc": doc.orderBy(F.desc("task_id")), "mined": mined}, f"file://{tmp_path}/b", seed, limit=30)
+    other = build_prompts({"doc": doc, "mined": mined}, f"file://{tmp_path}/c", "another", limit=30)
+    assert facts == again and facts["rows"] == 30 and other["sampling_seed"] != facts["sampling_seed"] and other["catalogue_sha256"] == facts["catalogue_sha256"]
+    rows = {p: {r.task_id for r in spark.read.json(f"file://{tmp_path}/{p}/prompts").collect()} for p in "abc"}
+    assert rows["a"] == rows["b"] != rows["c"]
+    assert json.loads((tmp_path / "a/manifest.json").read_text())["by_part"] == facts["by_part"]
+    assert build_prompts({"doc": doc}, f"file://{tmp_path}/d", seed, limit=99)["rows"] == 40
+    with pytest.raises(ValueError):
+        build_prompts({"none": doc}, f"file://{tmp_path}/e", seed)
+    whole = doc.unionByName(mined)
+    got = {r.task_id: r for r in lineage_splits(whole).collect()}
+    assert got["m0"].split == got["d0"].split == got["d7"].split == got["m7"].split == "held_out"  # m0 and d0 by the parent, d7 by the family
+    assert got["d1"].split_group == got["m1"].split_group == got["d8"].split_group != got["d2"].split_group
+    order = [r.first_task_id for r in ordered_splits(lineage_splits(whole)).collect()]
+    assert order == sorted(order)
+    clash = spark.createDataFrame([("a", "p", "o", "f", "c", None, "eval"), ("b", "p", "o", "f", "c", None, "held_out")], cols)
+    assert all(r.conflict for r in lineage_splits(clash).collect())
+    with pytest.raises(ValueError):
+        lineage_splits(clash, strict=True)
+
+
+def test_functions_in_sql(spark):
+    from quern.functions.sql import register
+
+    assert "code_structure" in register(spark, {"length_of": (len, "int")})
+    got = spark.sql("select code_parses('x = 1') a, code_parses('def (') b, code_parses(cast(null as string)) c, code_structure('x = 1') = code_structure('y = 1') d, canonical_json('{\"b\": 1, \"a\": 2}') e, length_of('abc') f").first()
+    assert tuple(got) == (True, False, None, True, '{"a":2,"b":1}', 3)
