@@ -64,8 +64,9 @@ def hash_to_min(edges: DataFrame) -> DataFrame:
         stage.drop(at)
         open_ = state.where("not settled").select("v", "m")
         if open_.isEmpty():
-            stage.drop_all_but(*kept)
-            return reduce(DataFrame.unionByName, parts)
+            out = stage.write(reduce(DataFrame.unionByName, parts))
+            stage.drop_all_but(stage.last)
+            return out
         sent = clusters.join(open_, "v").select("u", "m")
         out = sent.select(F.col("m").alias("v"), "u").unionByName(sent.select(F.col("u").alias("v"), F.col("m").alias("u")))
         clusters = stage.write(out.distinct())
