@@ -16,6 +16,7 @@ from quern.functions.keys import first_filled, is_blank
 from quern.functions.text import code_blocks, text_fingerprint
 from quern.operators.gate import issues
 from quern.operators.novelty import architecture, scoped
+from quern.plans.stage import Stage
 
 #: Origins and splits that never enter training; fixed values.
 FORBIDDEN_ORIGINS = ("tritonbench", "kernelbench_eval", "private_eval", "yaml")
@@ -84,7 +85,7 @@ def item_keys(items: DataFrame, sources: DataFrame | None = None, required: bool
     keys = items.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("key")) for k, c in kinds])).alias("k")).select("k.kind", "k.key")
     if sources is not None:
         keys = keys.unionByName(sources.select(F.lit("structure").alias("kind"), code_structure(F.col("code")).alias("key")))
-    keys = keys.where("key is not null").distinct()
+    keys = Stage(items.sparkSession, "keys").write(keys.where("key is not null").distinct())  # read by several joins
     if required and keys.where("kind = 'prompt'").isEmpty():
         raise ValueError("decontamination needs evaluation items with prompts")
     return keys
