@@ -63,9 +63,3 @@ def first_of_each(rows: DataFrame, key: str, order: str) -> DataFrame:
 def duplicate_groups(rows: DataFrame, key: str, order: str) -> DataFrame:
     """Keys of more than one row with their first row and count."""
     return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
-
-
-def matches(rows: DataFrame, key: str, held_out: DataFrame, held_key: str) -> DataFrame:
-    """Rows with a flag ``hit``: their key occurs among the held-out keys (reduced to distinct ones first)."""
-    keys = held_out.where(F.col(held_key).isNotNull()).select(F.col(held_key).alias(key)).distinct().withColumn("hit", F.lit(True))
-    return rows.join(keys, key, "left").withColumn("hit", F.coalesce("hit", F.lit(False)))

@@ -6,13 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import code as C
-from quern.functions import text as X
 from quern.functions.keys import clean_key, first_filled
 from quern.operators import bundle, gate, novelty, ranking, release, templates, validation
 from quern.operators import contamination as D
 from quern.operators.current import current_records
-from quern.operators.queries_rows import _ARCH, _BLANK, _CODE, _FP, _K, _SECRET_SQL
-from quern.sources.sinks import first_rows
+from quern.operators.queries_rows import _ARCH, _BLANK, _FP, _K, _SECRET_SQL
 from quern.sources.tables import table
 
 QUERIES, ORACLES = {}, {}

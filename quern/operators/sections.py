@@ -86,8 +86,3 @@ def without_directives(c: Column) -> Column:
     c = F.regexp_replace(c, r"(?m)^[ \t]*\.\. [^\n]*::[ \t]*\n(?:[ \t]*(?::[^\n]*)?\n)*", "")
     c = F.regexp_replace(c, r"(?m)^[ \t]*\.\.[^\n]*\n?", "")
     return F.regexp_replace(strip(c), r"\n{3,}", "\n\n")
-
-
-def prompt_of(title: Column, content: Column, length: int = 2500) -> Column:
-    """Prompt text of a chunk: its title and at most ``length`` characters of its content."""
-    return F.concat_ws("\n\n", F.concat(F.lit("Explain: "), title), F.left(content, F.lit(length)))

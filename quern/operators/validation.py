@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.code import api_issues, cheats, syntax_ok
+from quern.functions.code import UNPARSED, api_issues, cheats
 from quern.functions.keys import first_filled
 from quern.functions.text import code_blocks, tail
 
@@ -33,9 +33,10 @@ def cascade(rows: DataFrame, response: str, executed: Column, strict: bool = Tru
     benchmark floor.  The program is analysed once for all static stages.
     """
     code = code_blocks(F.col(response))
-    out = rows.withColumn("code", code).withColumns({"_ok": syntax_ok(F.col("code")), "_cheats": cheats(F.col("code"))})
+    out = rows.withColumn("code", code).withColumn("_cheats", cheats(F.col("code")))
     deprecated = F.size(api_issues(F.col("code")))
-    stages = [("syntax_error", F.coalesce(F.col("_ok"), F.lit(False))), ("triton_api", deprecated == 0)]
+    parses = ~F.coalesce(F.array_contains("_cheats", UNPARSED), F.lit(True))
+    stages = [("syntax_error", parses), ("triton_api", deprecated == 0)]
     if strict:
         stages.append(("anti_cheat_failed", F.size("_cheats") == 0))
     stages.append(("compile_execute_failed", F.coalesce(executed, F.lit(False))))
@@ -44,7 +45,7 @@ def cascade(rows: DataFrame, response: str, executed: Column, strict: bool = Tru
     if composite is not None:
         stages.append(("benchmark_below_floor", composite >= BENCHMARK_FLOOR))
     reason = first_failure(*stages)
-    return out.withColumns({"fail_reason": reason, "passed": reason.isNull()}).drop("_ok", "_cheats")
+    return out.withColumns({"fail_reason": reason, "passed": reason.isNull()}).drop("_cheats")
 
 
 def any_stage(rows: DataFrame, stages: str, name: str) -> bool:
