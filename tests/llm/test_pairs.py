@@ -4,7 +4,6 @@ import random
 import re
 from itertools import combinations
 
-from pyspark.sql import functions as F
 
 from quern.llm import flatwords as fw
 from quern.llm.buckets import bucket_pairs
