@@ -16,7 +16,8 @@ files partitioned by ``bucket`` (minwise key modulo the number of buckets) and s
 by minwise key.  The text of the keys is not kept.  Every append is a generation of its
 own, listed in a numbered manifest in the index folder, so another session opens the
 index by its path and neither reads the history nor rewrites it.  Generations of
-similar size are merged, so there are as many as the logarithm of the rows.
+similar size are merged, so there are as many as the logarithm of the rows; merged ones
+stay for sessions that still read them until ``vacuum``.
 
 *Probe.*  Only the buckets that the batch's keys fall into are read; a key is held if
 its bits of the signature agree, too.
@@ -37,6 +38,7 @@ batches are allowed; other columns of the inputs are not touched.
 from __future__ import annotations
 
 import json
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -122,7 +124,7 @@ class HistoryIndex:
     def _write(self, unique: DataFrame, rows: int) -> dict:
         """A table of unique keys as files by bucket."""
         buckets = max(LEAST_BUCKETS, 1 << (rows // self.rows_per_bucket).bit_length())
-        folder = f"{self.path}/generation-{self.version + 1:08d}"
+        folder = f"{self.path}/generation-{self.version + 1:08d}-{uuid.uuid4().hex}"  # another session may write the same number
         placed = unique.withColumn("bucket", F.pmod("minwise", F.lit(buckets)).cast("int"))
         placed.repartition("bucket").sortWithinPartitions("bucket", "minwise").write.mode("overwrite").partitionBy("bucket").parquet(folder)
         return {"folder": folder, "buckets": buckets, "rows": rows}
@@ -146,6 +148,11 @@ class HistoryIndex:
             rows = merged.count()
         self._publish([*kept, self._write(merged, rows)])
 
+    def vacuum(self) -> None:
+        """Delete generations that the manifest no longer lists; only while no other session reads or appends."""
+        listed = {g["folder"] for g in self.generations}
+        self.stage.drop(*[p for f in list_files(self.spark, self.path) if f.startswith("generation-") and (p := f"{self.path}/{f}") not in listed] or [f"{self.path}/none"])
+
     def probe(self, keys: DataFrame) -> DataFrame:
         """Those of the unique keys (band, minwise, check) that the history holds, with first bringer and its signature."""
         found = []

@@ -50,11 +50,11 @@ def p2_checked(spark: SparkSession, sf: str) -> DataFrame:
     groups = given.groupBy("group_task_id").agg(F.count("*").alias("n"), F.count_distinct("split_name").alias("s"), F.min("split_name").alias("split_name"))
     targets = table(spark, sf, "split_targets").groupBy("split_name").agg(F.sum("target_share").alias("w"))
     filled = targets.join(groups.groupBy("split_name").agg(F.sum("n").alias("n"), F.max("n").alias("most")), "split_name", "left").na.fill(0, ["n", "most"])
-    off = filled.crossJoin(given.agg(F.count("*").alias("total"))).crossJoin(targets.agg(F.sum("w").alias("whole")))  # one row each
-    off = off.agg(F.count_if(F.abs(F.col("n") - F.col("total") * F.col("w") / F.col("whole")) > F.greatest("most", F.lit(0.02) * F.col("total"))).alias("shares_off"))
-    lost = given.join(names, "split_name", "left_anti").agg(F.count("*").alias("without_split"))
+    total, whole = given.count(), targets.agg(F.sum("w")).first()[0]
+    off = F.abs(F.col("n") - F.lit(total) * F.col("w") / F.lit(whole)) > F.greatest("most", F.lit(0.02 * total))
+    lost = given.join(names, "split_name", "left_anti").count()
     out = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_records"), F.count("*").alias("n_groups"), F.count_if(F.col("s") > 1).alias("groups_divided"))
-    return out.crossJoin(off).crossJoin(lost)  # one row each
+    return out.withColumns({"shares_off": F.lit(filled.where(off).count()).cast("long"), "without_split": F.lit(lost).cast("long")})
 
 
 QUERIES = {"p2_checked": p2_checked, "p2_found": p2_found, "p2_groups": p2_groups, "p2_assigned": p2_assigned, "p2_shares": p2_shares}

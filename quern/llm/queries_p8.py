@@ -46,9 +46,9 @@ def p8_checked(spark: SparkSession, sf: str) -> DataFrame:
     docs = docs.groupBy("source").agg(F.max("n").alias("most"), F.sum("broken").alias("not_whole"))
     held = sizes.select(clean_key("source").alias("source"), "tokens").groupBy("source").agg(F.count("*").alias("documents_held"), F.max("tokens").alias("longest"))
     facts = report.join(docs, "source").join(held, "source").join(deviations(out), "source")
-    norm = report.where("tokens > 0").agg(F.sum("target_share").alias("whole"), F.sum("tokens").alias("mixed"))
-    off = F.abs(F.col("tokens") - F.col("target_share") / F.col("whole") * F.col("mixed")) > F.col("longest")
-    return facts.crossJoin(norm).select(  # one row
+    whole, mixed = report.where("tokens > 0").agg(F.sum("target_share"), F.sum("tokens")).first()
+    off = F.abs(F.col("tokens") - F.col("target_share") * F.lit(float(mixed or 0) / (whole or 1.0))) > F.col("longest")
+    return facts.select(
         "source",
         F.col("documents_held").alias("documents"),
         (F.col("most") > F.col("max_repeats")).alias("too_often"),

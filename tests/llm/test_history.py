@@ -92,6 +92,8 @@ def test_another_session_opens_the_index(spark, tmp_path):
     opened = HistoryIndex(other, path)
     assert opened.generations == index.generations and 1 <= len(opened.generations) < 3  # similar sizes were merged
     assert opened.generations[0]["buckets"] > 2
+    opened.vacuum()
+    assert len(list((tmp_path / "index").glob("generation-*"))) == len(opened.generations)
     batch = random_rows(4, 40, 100)
     seen = set().union(*map(keys, known))
     want = {}
