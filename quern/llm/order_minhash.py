@@ -13,7 +13,7 @@ distinct k-mers (``prefix``), which miss no pair that can reach the likeness, ho
 large the family, and have no bound.
 
 *Classes.*  ``similar_classes`` needs no pairs within a family: every text is linked to
-the first text of each of its sketches, however many share it; what these links join is
+the first text of its sketches (of at least MIN_SHARED of them), however many share it; what these links join is
 one class already, and the prefix keys then pair texts of different classes only.
 
 *Verification.*  Word alignment in a band around the diagonal, for all candidates
@@ -164,7 +164,8 @@ def similar_classes(docs: DataFrame, min_likeness: float = MIN_LIKENESS, k: int
     stage = Stage(docs.sparkSession, "classes")
     docs, members, sketches, prefix = _sketched(docs, stage, min_likeness, k)
     first = sketches.groupBy("key").agg(F.min("doc").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
-    stars = stage.write(sketches.join(first, "key").where(F.col("doc") != F.col("a")).select("a", F.col("doc").alias("b")).distinct())
+    stars = sketches.join(first, "key").where(F.col("doc") != F.col("a")).groupBy("a", F.col("doc").alias("b")).agg(F.count("*").alias("shared"))
+    stars = stage.write(stars.where(F.col("shared") >= MIN_SHARED).select("a", "b"))
     links = stage.write(_links(stars, docs, min_likeness))
     found = stage.write(_components(links))
     known = prefix.join(found, prefix.doc == found.rep, "left").select(prefix["*"], F.coalesce("class_id", "doc").alias("part"))
