@@ -4,7 +4,9 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from quern.llm import mixing
 from quern.llm.mixing import deviations, mix, pfair_slots
 
 
@@ -78,3 +80,44 @@ def test_empty(spark):
     assert out.count() == 0 and report.first().actual_share == 0
     out, report = mix(empty, targets(spark))
     assert out.count() == report.count() == 0
+
+
+def test_choice_and_order_do_not_depend_on_the_number_of_buckets(spark, monkeypatch):
+    """The same rows whether the input is held in few buckets or, as a larger one, in many."""
+    _, df = corpus(spark)
+    names = targets(spark, ("a", 0.4, 1), ("b", 0.3, 2), ("c", 0.3, 3))
+    found = []
+    for held in (200_000, 100, 7):
+        monkeypatch.setattr(mixing, "DOCS_PER_BUCKET", held)
+        out, report = mix(df, names, block=200)
+        found.append((sorted(map(tuple, out.collect())), sorted(map(tuple, report.collect()))))
+    assert found[0] == found[1] == found[2]
+
+
+def test_blocks_keep_their_size_in_a_long_mix(spark):
+    """600,000 blocks: every slot has one block, every source is within one block of its weight."""
+    rows = [(i, "ab"[i % 2], 2000, 0, 0) for i in range(300)]
+    out, report = mix(spark.createDataFrame(rows, SIZES), targets(spark, ("a", 0.5, 1), ("b", 0.5, 1)), block=1)
+    per_slot = out.groupBy("slot").agg(F.sum("tokens").alias("tokens"))
+    assert tuple(per_slot.agg(F.count("*"), F.min("slot"), F.max("slot"), F.max("tokens")).first()) == (600_000, 0, 599_999, 1)
+    assert out.select("source", "doc", "copy", "first_token").distinct().count() == 600_000
+    assert {r.source: r.tokens for r in report.collect()} == {"a": 300_000, "b": 300_000}
+    assert {r.source: r.most_tokens for r in deviations(out).collect()} == {"a": 0.5, "b": 0.5}
+
+
+def test_deviations_over_stretches(spark, monkeypatch):
+    """Summed by stretches or at once, as counted by hand."""
+    rng = random.Random(3)
+    rows = [(t, rng.choice("abbccc"), rng.randint(1, 9)) for t in range(300)]
+    whole, shares = sum(n for *_, n in rows), Counter()
+    for _, s, n in rows:
+        shares[s] += n
+    most, given, done = dict.fromkeys(shares, 0.0), Counter(), 0
+    for _, s, n in rows:
+        given[s] += n
+        done += n
+        most = {x: max(most[x], abs(given[x] - shares[x] / whole * done)) for x in most}
+    for stretch in (1 << 19, 64, 1):
+        monkeypatch.setattr(mixing, "STRETCH", stretch)
+        got = deviations(spark.createDataFrame(rows, "slot long, source string, tokens int"))
+        assert {r.source: r.most_tokens for r in got.collect()} == pytest.approx(most)
